@@ -13,7 +13,7 @@ BLOCK_SIZE = 1024
 SKIP_BY = 128
 # Texts longer than this are paged first: a substring is found by scanning from the start of
 # its text, which would be quadratic over a long document.
-PAGE_CHARS = 8192
+PAGE_CHARS = 2048
 
 
 def chunk_text(

@@ -18,7 +18,7 @@ from millrace.functions.arrays import (
 )
 from millrace.operators.index import LIMIT_IN_ONE_TASK, with_batch_id, with_row_index
 from millrace.session import stage
-from millrace.sizing import lookup_join
+from millrace.sizing import BROADCAST_BYTES, fits_broadcast
 
 # Spelled out because the meaning of \S differs between engines.
 WORD = r"[^ \n\t\r]+"
@@ -50,42 +50,52 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text: str = "text") -> Da
     return stage(ranked.select("word", "n", (F.col("_rank") + FIRST_WORD_ID).cast("int").alias("id")), "vocab")
 
 
-def _translate(tokens: DataFrame, vocab: DataFrame, key: Sequence[str], source: str, target: Column, limit: int | None) -> DataFrame:
-    """Look up exploded ``(key, _pos, source)`` rows and gather ``target`` by position.
+def _matched(
+    df: DataFrame, vocab: DataFrame, key: Sequence[str], items: Column, item: str, limit_bytes: int
+) -> DataFrame:
+    """Explode ``items`` to ``(key, _pos, item)`` rows and look each one up in the vocabulary.
 
-    Each map task gathers its own documents before the exchange, so one array a document is
-    shuffled, not one row a token.
+    With a vocabulary that fits a broadcast the documents are hash-partitioned by key before
+    they are exploded, so that one exchange of text serves the lookup and the gathering by key.
     """
-    found = lookup_join(tokens, vocab, source, "left", **({"limit_bytes": limit} if limit is not None else {}))
-    item = F.when(F.col("_pos").isNotNull(), F.struct(F.col("_pos"), target.alias("v")))
-    gathered = found.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    return gathered.select(*key, F.transform("_items", lambda x: x["v"]).alias("_out"))
+    if not fits_broadcast(vocab, limit_bytes):
+        tokens = df.select(*key, F.posexplode_outer(items).alias("_pos", item))
+        return tokens.join(vocab.hint("merge"), item, "left")
+    tokens = df.repartition(*key).select(*key, F.posexplode_outer(items).alias("_pos", item))
+    return tokens.join(F.broadcast(vocab), item, "left")
 
 
 def encode(
-    df: DataFrame, vocab: DataFrame, key: Sequence[str], text: str = "text", eos: bool = False, limit_bytes: int | None = None
+    df: DataFrame,
+    vocab: DataFrame,
+    key: Sequence[str],
+    text: str = "text",
+    eos: bool = False,
+    limit_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Word ids of each document as ``key, ids``; unknown words become the unknown id.
 
-    ``key`` must be unique. Only key, position and word leave the scan.
+    ``key`` must be unique. Position and id travel packed in one long, so gathering an array
+    sorts plain numbers.
     """
-    tokens = df.select(*key, F.posexplode_outer(words(F.col(text))).alias("_pos", "word"))
-    unknown = F.coalesce(F.col("id"), F.lit(UNK_ID))
-    ids = _translate(tokens, vocab.select("word", "id"), key, "word", unknown, limit_bytes)
-    out = F.concat("_out", F.array(F.lit(EOS_ID))) if eos else F.col("_out")
-    return ids.select(*key, out.alias("ids"))
+    found = _matched(df.select(*key, text), vocab.select("word", "id"), key, words(F.col(text)), "word", limit_bytes)
+    packed = F.shiftleft(F.col("_pos").cast("bigint"), 32) + F.coalesce(F.col("id"), F.lit(UNK_ID))
+    gathered = found.groupBy(*key).agg(F.sort_array(F.collect_list(packed)).alias("_packed"))
+    ids = F.transform("_packed", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
+    return gathered.select(*key, (F.concat(ids, F.array(F.lit(EOS_ID))) if eos else ids).alias("ids"))
 
 
 def decode(
-    df: DataFrame, vocab: DataFrame, key: Sequence[str], ids: str = "ids", limit_bytes: int | None = None
+    df: DataFrame, vocab: DataFrame, key: Sequence[str], ids: str = "ids", limit_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Text of each id array as ``key, text``; marker ids come back as their marker."""
-    tokens = df.select(*key, F.posexplode_outer(ids).alias("_pos", "id"))
-    word = F.col("word")
+    found = _matched(df.select(*key, ids), vocab.select("id", "word"), key, F.col(ids), "id", limit_bytes)
+    word = F.coalesce(F.col("word"), F.lit(MARKERS[UNK_ID]))
     for marker_id, marker in MARKERS.items():
         word = F.when(F.col("id") == marker_id, F.lit(marker)).otherwise(word)
-    text = _translate(tokens, vocab.select("id", "word"), key, "id", F.coalesce(word, F.lit(MARKERS[UNK_ID])), limit_bytes)
-    return text.select(*key, F.array_join("_out", " ").alias("text"))
+    placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", word.alias("word")))
+    gathered = found.groupBy(*key).agg(F.array_sort(F.collect_list(placed)).alias("_words"))
+    return gathered.select(*key, F.array_join(F.transform("_words", lambda x: x["word"]), " ").alias("text"))
 
 
 def clm_examples(df: DataFrame, ids: str = "ids") -> DataFrame:

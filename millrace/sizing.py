@@ -28,6 +28,10 @@ def byte_size(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"]
 
 
+def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
+    return byte_size(df) <= limit_bytes
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -44,6 +48,6 @@ def lookup_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"the left side must be the preserved one, not {how!r}")
-    if byte_size(small) <= limit_bytes:
+    if fits_broadcast(small, limit_bytes):
         return big.join(F.broadcast(small), on, how)
     return big.join(small.hint("merge"), on, how)

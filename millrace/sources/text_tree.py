@@ -11,12 +11,36 @@ from pyspark.sql import functions as F
 
 from millrace.functions import paths as P
 from millrace.session import stage
-from millrace.sources.manifest import exclude_component
+from millrace.sources.manifest import exclude_component, union_sources
 
 READ_BATCH_BYTES = 32 * 1024 * 1024
 _LISTING = "uri string, size bigint, is_dir boolean"
 
 
+def _locator():
+    """A function from an address to its file system and path; names are taken as they are.
+
+    Made inside a function so that it travels to workers by value.
+    """
+    import re
+
+    stores = {}
+
+    def locate(uri: str):
+        from pyarrow import fs
+
+        scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(//[^/]*)?", uri)
+        if scheme is None or scheme[1] == "file":
+            return fs.LocalFileSystem(), re.sub(r"^file:/*", "/", uri)
+        head = scheme[0]
+        if head not in stores:
+            stores[head] = fs.FileSystem.from_uri(f"{head}/")
+        store, base = stores[head]
+        return store, f"{base.rstrip('/')}/{uri[len(head):].lstrip('/')}"
+
+    return locate
+
+
 def _parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -28,20 +52,21 @@ def list_tree(spark: SparkSession, root: str) -> DataFrame:
     of a level reaches the driver.
     """
 
+    locate = _locator()
+
     def children(batches):
         import pandas as pd
         from pyarrow import fs
 
         for batch in batches:
             for uri in batch["uri"]:
-                store, path = fs.FileSystem.from_uri(uri)
-                prefix = uri[: len(uri) - len(path)]
+                store, path = locate(uri)
                 infos = store.get_file_info(fs.FileSelector(path))
                 for i in range(0, len(infos), 10000):
                     part = infos[i : i + 10000]
                     yield pd.DataFrame(
                         {
-                            "uri": [prefix + x.path for x in part],
+                            "uri": [f"{uri}/{x.base_name}" for x in part],
                             "size": [x.size or 0 for x in part],
                             "is_dir": [x.type == fs.FileType.Directory for x in part],
                         }
@@ -56,10 +81,7 @@ def list_tree(spark: SparkSession, root: str) -> DataFrame:
         folders = level.where("is_dir").select("uri")
         if folders.isEmpty():
             break
-    files = levels[0]
-    for level in levels[1:]:
-        files = files.unionByName(level)
-    return files.select(F.substring("uri", len(root) + 2, 2**31 - 1).alias("path"), "uri", "size")
+    return union_sources(*levels).select(F.substring("uri", len(root) + 2, 2**31 - 1).alias("path"), "uri", "size")
 
 
 def scan_text_tree(spark: SparkSession, manifest: DataFrame, skip_component: str = P.METADATA_DIR) -> DataFrame:
@@ -68,16 +90,15 @@ def scan_text_tree(spark: SparkSession, manifest: DataFrame, skip_component: str
     ``manifest`` holds ``path, uri``. Line ends become newlines; bytes that are not UTF-8 fail
     the job. Files below a folder named ``skip_component`` are left out.
     """
-    limit = READ_BATCH_BYTES
+    limit, locate = READ_BATCH_BYTES, _locator()
 
     def read(batches):
         import pandas as pd
-        from pyarrow import fs
 
         for batch in batches:
             paths, texts, held = [], [], 0
             for path, uri in zip(batch["path"], batch["uri"]):
-                store, name = fs.FileSystem.from_uri(uri)
+                store, name = locate(uri)
                 with store.open_input_stream(name) as f:
                     data = f.read()
                 paths.append(path)
@@ -99,17 +120,16 @@ def write_text_tree(df: DataFrame, root: str, path: str = "path", text: str = "t
 
     A task that is run again rewrites the same bytes under the same name.
     """
-    base = root.rstrip("/")
+    base, locate = root.rstrip("/"), _locator()
 
     def write(batches):
         import pandas as pd
-        from pyarrow import fs
 
         made = set()
         for batch in batches:
             sizes = []
             for rel, body in zip(batch["path"], batch["text"]):
-                store, name = fs.FileSystem.from_uri(f"{base}/{rel}")
+                store, name = locate(f"{base}/{rel}")
                 folder = name.rsplit("/", 1)[0]
                 if folder not in made:
                     store.create_dir(folder, recursive=True)
@@ -126,14 +146,13 @@ def write_text_tree(df: DataFrame, root: str, path: str = "path", text: str = "t
 
 def write_line_files(df: DataFrame, root: str, line: str, header: str) -> DataFrame:
     """Write the text column ``line`` as one file a partition, each starting with ``header``."""
-    base = root.rstrip("/")
+    base, locate = root.rstrip("/"), _locator()
 
     def write(batches):
         import pandas as pd
-        from pyarrow import fs
         from pyspark import TaskContext
 
-        store, folder = fs.FileSystem.from_uri(base)
+        store, folder = locate(base)
         store.create_dir(folder, recursive=True)
         name, n = f"{folder}/lines-{TaskContext.get().partitionId():06d}.csv", 0
         with store.open_output_stream(name) as f:
