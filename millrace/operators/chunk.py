@@ -6,14 +6,31 @@ import math
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_SIZE = 1024
 SKIP_BY = 128
-# Texts longer than this are paged first: a substring is found by scanning from the start of
-# its text, which would be quadratic over a long document.
-PAGE_CHARS = 2048
+# Longer texts are expanded a page at a time, so the blocks held at once stay few.
+PAGE_CHARS = 65_536
+# Most units a block is put together from; see ``_blocks``.
+MAX_UNITS = 64
+
+
+def _blocks(body: Column, own: Column, units: Column, block_size: int, skip_by: int) -> Column:
+    """The blocks that start in the first ``own`` characters of ``body``.
+
+    ``units`` are the pieces of ``body`` of the size that divides block and step, and a block is
+    a run of them joined. Taking substrings instead would scan ``body`` from its start for each
+    block. Where a block would need too many units one pattern walks the body in steps and
+    looks ahead for the block.
+    """
+    unit = math.gcd(block_size, skip_by)
+    if block_size // unit <= MAX_UNITS:
+        first = F.sequence(F.lit(1), F.ceil(own / unit).cast("int"), F.lit(skip_by // unit))
+        return F.transform(first, lambda i: F.array_join(F.slice(units, i, block_size // unit), ""))
+    found = F.regexp_extract_all(body, F.lit(f"(?s)(?=(.{{1,{block_size}}})).{{1,{skip_by}}}"), F.lit(1))
+    return F.slice(found, F.lit(1), F.ceil(own / skip_by).cast("int"))
 
 
 def chunk_text(
@@ -51,12 +68,20 @@ def chunk_text(
         following,
         lambda a, b: F.struct(F.length(a).alias("own"), F.concat(a, F.substring(b, 1, block_size)).alias("text")),
     )
-    pages = paged.select(*keep, "_short", F.posexplode(windows).alias("_page_no", "_page"))
-    blocks = F.when(F.col("_short"), F.array(F.col("_page.text"))).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(F.col("_page.own") - 1, F.lit(0)), F.lit(skip_by)),
-            lambda i: F.col("_page.text").substr(i + 1, F.lit(block_size)),
-        )
+    unit = math.gcd(block_size, skip_by)
+    pages = paged.select(*keep, "_short", F.posexplode(windows).alias("_page_no", "_page")).select(
+        *keep,
+        "_short",
+        "_page_no",
+        F.col("_page.own").alias("_own"),
+        F.col("_page.text").alias("_text"),
+        F.when(
+            ~F.col("_short") & F.lit(block_size // unit <= MAX_UNITS),
+            F.regexp_extract_all("_page.text", F.lit(f"(?s).{{1,{unit}}}"), F.lit(0)),
+        ).alias("_units"),
+    )
+    blocks = F.when(F.col("_short"), F.array("_text")).otherwise(
+        _blocks(F.col("_text"), F.col("_own"), F.col("_units"), block_size, skip_by)
     )
     return pages.select(*keep, "_page_no", F.posexplode(blocks).alias("_block_no", "chunk")).select(
         *keep, (F.col("_page_no").cast("bigint") * per_page + F.col("_block_no")).alias("chunk_no"), "chunk"

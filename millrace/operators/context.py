@@ -85,5 +85,5 @@ def context_tail(
     tiled = placed.withColumn("_own", own).withColumn("_tile", F.explode(F.array_distinct(F.array(own, reach))))
     frame = Window.partitionBy(key, "_tile").orderBy("_end").rangeBetween(-(n - 1), 0)
     seen = F.flatten(F.collect_list(last_n(F.col(tokens), n)).over(frame))
-    rows = tiled.withColumn(name, last_n(seen, n)).where(F.col("_tile") == F.col("_own"))
-    return rows.select(*df.columns, name)
+    rows = tiled.withColumn("_seen", seen).where(F.col("_tile") == F.col("_own"))
+    return rows.select(*df.columns, last_n(F.col("_seen"), n).alias(name))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,28 +16,20 @@ LIMIT_IN_ONE_TASK = 100_000
 _SHIFT = 33
 
 
-def with_row_index(
-    df: DataFrame, order: Sequence[str], name: str = "row_index", partitions: int | None = None
-) -> DataFrame:
-    """Number the rows from zero in the order of ``order``, which must tell rows apart.
+def _numbered(df: DataFrame, order: Sequence[str], name: str, partitions: int | None) -> DataFrame:
+    """Range-partition, sort and stage the rows with their place, then add where their partition starts.
 
-    Rows are range-partitioned and sorted within their partition, so equal leading values are
-    split where later ones differ. The sorted rows are staged with their place in their
-    partition: both reads below then see the same partitions. The driver receives one count a
-    partition.
+    The staged places make both reads below see the same partitions, whichever tasks are run
+    again. The driver receives one count a partition.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = stage(
-        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()),
-        "row-index",
-    )
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    placed = stage(ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()), "row-index")
     part = F.shiftright("_place", _SHIFT)
     offsets, total = [], 0
     for row in placed.groupBy(part.alias("part")).count().orderBy("part").collect():
         offsets.append((row["part"], total))
         total += row["count"]
-    starts = spark.createDataFrame(offsets, "_part bigint, _start bigint")
+    starts = df.sparkSession.createDataFrame(offsets, "_part bigint, _start bigint")
     index = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << _SHIFT) - 1))
     return (
         placed.withColumn("_part", part)
@@ -44,6 +38,24 @@ def with_row_index(
     )
 
 
+def with_row_index(
+    df: DataFrame, order: Sequence[str], name: str = "row_index", partitions: int | None = None
+) -> DataFrame:
+    """Number the rows from zero in the order of ``order``, which must tell rows apart.
+
+    Only the order columns are sampled, sorted and staged; the other columns join the numbers
+    once, on all order columns, so a key shared by many rows is still spread. ``df`` is read
+    for the sample, the sort and the join: stage it first if it is costly to compute.
+    """
+    if set(order) == set(df.columns):
+        return _numbered(df, order, name, partitions)
+    numbers = _numbered(df.select(*order), order, name, partitions)
+    for i, c in enumerate(order):
+        numbers = numbers.withColumnRenamed(c, f"_order{i}")
+    same = [F.col(c).eqNullSafe(F.col(f"_order{i}")) for i, c in enumerate(order)]
+    return df.join(numbers, reduce(and_, same)).select(*df.columns, name)
+
+
 def with_batch_id(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     """Number batches of ``size`` consecutive rows from zero."""
     indexed = with_row_index(df, order, "_row")

@@ -20,14 +20,20 @@ from millrace.operators.index import LIMIT_IN_ONE_TASK, with_batch_id, with_row_
 from millrace.session import stage
 from millrace.sizing import BROADCAST_BYTES, fits_broadcast
 
-# Spelled out because the meaning of \S differs between engines.
-WORD = r"[^ \n\t\r]+"
+# Listed because the meaning of white space differs between engines.
+SPACES = "\n\t\r"
 VOCAB_SIZE = 30_000
 MARKERS = {PAD_ID: "<pad>", EOS_ID: "</s>", UNK_ID: "<unk>"}
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """Runs of characters other than blank, newline, tab and carriage return.
+
+    Splitting at one plain character takes less time than matching a pattern.
+    """
+    for space in SPACES:
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def word_counts(df: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
@@ -46,7 +52,9 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text: str = "text") -> Da
         # At most ``size`` rows reach the window.
         ranked = counts.orderBy(*best).limit(size).withColumn("_rank", F.row_number().over(Window.orderBy(*best)) - 1)
     else:
-        ranked = with_row_index(counts.withColumn("_less", -F.col("n")), ["_less", "word"], "_rank").where(F.col("_rank") < size)
+        ordered = counts.select((-F.col("n")).alias("_less"), "word")
+        indexed = with_row_index(ordered, ["_less", "word"], "_rank").where(F.col("_rank") < size)
+        ranked = indexed.withColumn("n", -F.col("_less"))
     return stage(ranked.select("word", "n", (F.col("_rank") + FIRST_WORD_ID).cast("int").alias("id")), "vocab")
 
 
@@ -104,7 +112,7 @@ def clm_examples(df: DataFrame, ids: str = "ids") -> DataFrame:
 
 
 def collate(df: DataFrame, order: Sequence[str], batch_size: int, side: str = "right", ids: str = "ids") -> DataFrame:
-    """Batches of consecutive rows, each padded to its longest row.
+    """Batches of consecutive rows, each padded to its longest row; pass staged rows.
 
     Adds ``batch_id``, ``input_ids``, ``attention_mask`` and ``labels``. Labels are ignored where
     a position is padding, so a real end marker still counts.

@@ -420,7 +420,7 @@ def pad_truncate(spark, folder):
 
 @query
 def batch_pad_labels(spark, folder):
-    batches = tokens.collate(_encoded(spark, folder), ["doc_id"], 8, "right")
+    batches = tokens.collate(stage(_encoded(spark, folder), "encoded"), ["doc_id"], 8, "right")
     arrays = ("input_ids", "attention_mask", "labels")
     return batches.select("doc_id", "batch_id", *[A.joined(F.col(c)).alias(c) for c in arrays])
 

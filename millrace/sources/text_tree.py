@@ -41,10 +41,6 @@ def _locator():
     return locate
 
 
-def _parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def list_tree(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root`` as ``path, uri, size``, hidden ones included.
 
@@ -76,7 +72,7 @@ def list_tree(spark: SparkSession, root: str) -> DataFrame:
     folders = spark.createDataFrame([(root,)], "uri string")
     levels = []
     while True:
-        level = stage(folders.repartition(_parallelism(spark)).mapInPandas(children, _LISTING), "listing")
+        level = stage(folders.repartition("uri").mapInPandas(children, _LISTING), "listing")
         levels.append(level.where(~F.col("is_dir")))
         folders = level.where("is_dir").select("uri")
         if folders.isEmpty():
@@ -111,7 +107,7 @@ def scan_text_tree(spark: SparkSession, manifest: DataFrame, skip_component: str
                 yield pd.DataFrame({"path": paths, "text": texts})
 
     wanted = exclude_component(manifest.select("path", "uri"), "path", skip_component)
-    raw = wanted.repartition(_parallelism(spark), "path").mapInPandas(read, "path string, text string")
+    raw = wanted.repartition("path").mapInPandas(read, "path string, text string")
     return raw.select("path", F.regexp_replace("text", r"\r\n?", "\n").alias("text"))
 
 

@@ -43,9 +43,9 @@ def test_cases_in_all_three_forms(spark, text, block, step, want):
         assert [(r["id"], r["chunk"]) for r in form.orderBy("chunk_no").collect()] == [(7, c) for c in want]
 
 
-@pytest.mark.parametrize("block,step,page", [(10, 3, 12), (10, 10, 10), (5, 7, 20), (16, 4, 1), (3, 20, 8), (1, 1, 4)])
+@pytest.mark.parametrize("block,step,page", [(10, 3, 12), (10, 10, 10), (5, 7, 20), (16, 4, 1), (3, 20, 8), (1, 1, 4), (97, 10, 40), (70, 200, 90), (128, 2, 64)])
 def test_pages_do_not_show(spark, block, step, page):
-    texts = ["é😀x\ny\r\n" * n for n in range(0, 20)] + ["z" * n for n in range(0, 50)]
+    texts = ["é😀x\ny\r\n" * n for n in range(0, 40)] + ["z" * n for n in range(0, 50)]
     assert native(spark, texts, block, step, page) == [expected(t, block, step) for t in texts]
 
 

@@ -122,3 +122,9 @@ def test_first_copy_is_kept(spark):
     df = spark.createDataFrame(rows, "i int, t string, s string")
     got = sorted(tuple(r) for r in dedup_keep_first(df.repartition(3), ["t"], ["i"]).collect())
     assert got == [(1, "u", "w"), (2, "t", "y"), (7, None, None)]
+
+
+def test_row_index_orders_nulls_first_and_keeps_columns(spark):
+    df = spark.createDataFrame([(None, 1, "x"), ("a", None, "y"), ("a", 0, "z"), (None, 0, None)], "k string, i int, v string")
+    got = {r["v"]: r["row_index"] for r in index.with_row_index(df, ["k", "i"], partitions=3).collect()}
+    assert got == {None: 0, "x": 1, "y": 2, "z": 3}
