@@ -49,7 +49,10 @@ def scan_csv(
     too_long = F.col(_BAD).isNotNull() & (fields > len(names))
     if on_bad_lines == "error":
         too_long = F.when(too_long, F.raise_error(F.concat(F.lit("too many fields: "), F.col(_BAD)))).otherwise(False)
-    good = raw.where(~too_long)
+    # Always true: it makes every read use all columns, without which the reader cannot tell
+    # that a line is long, and refuses a query on the flag alone.
+    whole = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
+    good = raw.where(~too_long & whole)
     rows = good.select(*[F.when(~F.col(f"`{c}`").isin(NA_WORDS), F.col(f"`{c}`")).alias(c) for c in names])
     return cast_columns(rows, infer_types(rows)) if infer else rows
 

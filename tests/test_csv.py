@@ -47,7 +47,17 @@ def test_dedup_leaves_five(spark, messy):
     assert dedup_rows(scan_csv(spark, messy)).count() == 5
 
 
-def test_count_alone_is_right(spark, messy):
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_counts_and_single_columns_are_right(spark, tmp_path, multi_line):
+    path = tmp_path / "flat.csv"
+    path.write_text("a,b,c\n1,x,2\n2,y\n3,z,1,EXTRA\n4,t,1,\n5,,\n")
+    df = scan_csv(spark, str(path), multi_line=multi_line)
+    assert df.count() == 3
+    assert [r["a"] for r in df.select("a").orderBy("a").collect()] == ["1", "2", "5"]
+    assert df.where("b = 'y'").select("c").collect()[0]["c"] is None
+
+
+def test_count_of_the_messy_file(spark, messy):
     assert scan_csv(spark, messy).count() == 6
 
 
