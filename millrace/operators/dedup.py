@@ -24,5 +24,7 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     any size never meets in one task.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates()
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)

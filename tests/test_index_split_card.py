@@ -122,6 +122,7 @@ def test_first_copy_is_kept(spark):
     df = spark.createDataFrame(rows, "i int, t string, s string")
     got = sorted(tuple(r) for r in dedup_keep_first(df.repartition(3), ["t"], ["i"]).collect())
     assert got == [(1, "u", "w"), (2, "t", "y"), (7, None, None)]
+    assert dedup_keep_first(df.select("t"), ["t"], ["t"]).count() == 3
 
 
 def test_row_index_orders_nulls_first_and_keeps_columns(spark):
