@@ -18,11 +18,12 @@ from millrace.session import new_path
 NULL_ID = -(2**63)
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(_id, _key, text)`` of ``docs``; other columns and their names play no part."""
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
+    """``(_id, _key, text)`` of ``docs`` and the columns of ``more``; other columns and their names play no part."""
     ident, text = F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`").cast("string")
     return docs.select(
-        F.coalesce(ident, F.lit(NULL_ID)).alias("_id"), F.xxhash64(ident, text).alias("_key"), text.alias("text")
+        F.coalesce(ident, F.lit(NULL_ID)).alias("_id"), F.xxhash64(ident, text).alias("_key"), text.alias("text"),
+        *[c.alias(name) for name, c in more.items()],
     )
 
 
