@@ -1,0 +1,61 @@
+import random
+import zlib
+
+import numpy as np
+from pyspark.sql import types as T
+
+from millrace.llm.quality import Network, gather, index_vectors, quality_scores, runs, BUCKETS, DIMS, REACH
+
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("score", T.StringType())])
+LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType())])
+
+
+def test_vectors_against_loop():
+    import pyarrow as pa
+
+    texts = ["One two THREE one!! 44", "", "a b", None, "x"]
+    total = np.zeros(BUCKETS * DIMS)
+    gather(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), total)
+    place, sign = index_vectors()
+    want = np.zeros((BUCKETS, DIMS))
+    for t in texts:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        b = runs(data, np.array([0, len(data)]))[0] if len(data) else []
+        for i in range(len(b)):
+            for j in range(max(0, i - REACH), min(len(b), i + REACH + 1)):
+                if i != j:
+                    for m in range(place.shape[1]):
+                        want[b[i], place[b[j], m]] += sign[b[j], m]
+    assert (total.reshape(BUCKETS, DIMS) == want).all()
+
+
+def test_separates_and_calibrates(spark):
+    rng = random.Random(1)
+    good = lambda: " ".join(rng.choice(["the", "of", "word", "house", "and", "tree"]) for _ in range(rng.randrange(20, 80))) + "."
+    bad = lambda: " ".join(rng.choice(["BUY!!", "now$$$", "win%%%", "the", "of"]) for _ in range(rng.randrange(20, 80)))
+    rows = [(i, good() if i % 4 else bad(), "x") for i in range(600)] + [(700, "", "x"), (701, None, "x"), (None, "word", "x")]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(600)] + [(5, None), (9999, 1)], LABELS)
+    got = quality_scores(spark.createDataFrame(rows, SCHEMA).repartition(4), labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    for r in got:
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    held = [r for r in got if r.held_out and r.doc_id < 600]
+    assert sum(r.predicted == int(r.doc_id % 4 > 0) for r in held) >= 0.98 * len(held)
+
+
+def test_odd_label_tables(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (3, None, "x")], SCHEMA)
+    none = quality_scores(docs, spark.createDataFrame([], LABELS)).collect()
+    assert [r.score for r in none] == [0.5] * 3
+    one = quality_scores(docs, spark.createDataFrame([(1, 1), (3, 1)], LABELS)).collect()
+    assert all(0.5 < r.score < 1 for r in one)
+    assert quality_scores(docs.limit(0), spark.createDataFrame([(1, 1)], LABELS)).collect() == []
+
+
+def test_temperature_tames_overconfidence():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 5))
+    y = (rng.random(900) < 1 / (1 + np.exp(-x[:, 0]))).astype(float)
+    p = Network(x[:600], y[:600]).score(x[600:])
+    t = y[600:]
+    assert -(t * np.log(p) + (1 - t) * np.log(1 - p)).mean() < 0.69
