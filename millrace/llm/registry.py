@@ -2,21 +2,83 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import benchmark_leaks
+from millrace.llm.embedding_dedup import embedding_classes
 from millrace.llm.jaccard_join import jaccard_classes
+from millrace.llm.packing import length_batches
+from millrace.llm.pii import KINDS, pseudonymised
+from millrace.llm.quality import quality_scores
+from millrace.llm.quotes import linked_messages
+from millrace.llm.substring_dedup import substring_deduped
+from millrace.llm.suffix_dedup import repeats_removed
+from millrace.llm.token_counts import token_counts
+
+VOCABULARY = os.environ.get("MILLRACE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+PII_KEY = os.environ.get("MILLRACE_PII_KEY", "millrace-demonstration-key")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_deduped(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_chunks", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return jaccard_classes(docs, words=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
+    return jaccard_classes(_table(spark, sf_dir, "documents"), words=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats_removed(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_messages(_table(spark, sf_dir, "conversations"))
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_classes(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "lcs_share", "answer_found")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_batches(_table(spark, sf_dir, "documents")).drop("_id", "_key")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonymised(_table(spark, sf_dir, "documents"), PII_KEY)
+    count = lambda kind: F.size(F.filter("pii_values", lambda v: v["kind"] == kind)).alias(f"n_{kind}")
+    return out.select("doc_id", "text", *[count(k) for k in KINDS])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_jaccard_join": op2_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_jaccard_join, op3_suffix_dedup, op4_quality_classifier, op5_chat_formatting,
+        op6_embedding_dedup, op7_decontamination, op8_packing, op9_token_counts, op10_pii,
+    )
 }
 
 ORACLES: dict[str, str] = {}
