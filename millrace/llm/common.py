@@ -61,32 +61,50 @@ class Scratch:
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``(node, root)`` for every node of the undirected ``links (a, b)``; root is the smallest node.
 
-    Alternates the large-star and small-star steps until the edge set stands still. Each step is
-    a minimum with map-side combine joined back to the edges, so a node with a third of all links
-    sends one row a task to the aggregate, and adaptive execution may split it in the join.
+    Alternates the large-star and small-star steps until every node but the roots has one edge, to
+    its root. Each step is a minimum with map-side combine joined back to the edges, so a node
+    with a third of all links sends one row a task to the aggregate, and adaptive execution may
+    split it in the join.
     """
     edges = scratch.stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    state = _print(edges)
-    while state[0]:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = scratch.stage(large)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         star = large.join(low.hint("merge"), "a")
         small = star.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(star.select("a", F.col("m").alias("b")))
         after = scratch.stage(small.where("a <> b").distinct())
         scratch.drop(edges, large)
-        edges, before, state = after, state, _print(after)
-        if state == before:
-            break
+        edges = after
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    one, none = F.lit(1), F.lit(0)
+    ends = edges.select(F.col("a").alias("node"), one.alias("up"), none.alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), none.alias("up"), one.alias("down")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or up > 0 and down > 0").isEmpty()
+
+
+def local_roots(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The smallest of ``n`` nodes that each is connected to by the pairs."""
+    root = np.arange(n)
+    a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, int)
+    b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, int)
+    while True:
+        low = np.minimum(root[a], root[b])
+        after = root.copy()
+        np.minimum.at(after, root[a], low)
+        np.minimum.at(after, root[b], low)
+        after = after[after]
+        if (after == root).all():
+            return root
+        root = after
 
 
 # ---- bytes and words in numpy ---------------------------------------------------------------

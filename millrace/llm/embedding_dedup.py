@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NULL_ID, Scratch, components, plain_id
+from millrace.llm.common import NULL_ID, Scratch, components, local_roots, plain_id
 
 TILE = 1536
 STRIP = 256
@@ -60,21 +60,6 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, threshold: float, same: bool):
             yield a[near], b[near]
 
 
-def local_roots(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    root = np.arange(n)
-    a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, int)
-    b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, int)
-    while True:
-        low = np.minimum(root[a], root[b])
-        after = root.copy()
-        np.minimum.at(after, root[a], low)
-        np.minimum.at(after, root[b], low)
-        after = after[after]
-        if (after == root).all():
-            return root
-        root = after
-
-
 def _tile(threshold: float):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         *_, low, high = key

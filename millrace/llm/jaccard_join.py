@@ -12,10 +12,12 @@ An empty segment would be an entry that unrelated sets share. It is not indexed:
 lost, and the band has spare points to make up for it. A linked pair can then be missed only when
 both sets have lost more than the spare; such *weak* sets index their empty segments too.
 
-Candidates meet in one exchange of ``(entry, set digest)``. Each entry's members are verified
-against one pivot, so a group of near copies costs one check a member; members that end up in
-different components are then verified with each other, large groups after they are split again
-by a second, independent partition of the universe. Every check is exact on the shingle sets.
+Candidates meet in one exchange of ``(entry, set digest)``. Each set is verified against the least
+pivot of its entries, so a group of near copies costs one check a member. Entries whose members
+are in different components after that are resolved: large ones are split by a second, independent
+partition of the universe (linked sets meet there too, sets that only share a passage hardly
+ever); the members of entries with one pivot form a group, and a group is verified in tile products
+that return one row a linked set, never its pairs. Every check is exact on the shingle sets.
 
 Results for odd cases: null or empty texts and texts without words have an empty set and link with
 nothing; fewer words than ``words`` make one shingle of the whole sequence; rows that repeat an id
@@ -33,13 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NULL_ID, Scratch, U, components, keyed, mix, per_row, plain_id, signed, text_slices, words_of
+from millrace.llm.common import NULL_ID, Scratch, U, components, keyed, local_roots, mix, per_row, plain_id, signed, text_slices, words_of
 from millrace.sizing import lookup_join
 
 BAND_RATIO = 1.4
 SPARE = 12
-SMALL_BUCKET = 40
+SMALL_BUCKET = 64
 PIVOT_ROWS = 2_000
+TILE_SETS = 512
+TILE_MEMBERS = 500_000
+SECOND = 0x5851F42D4C957F2D
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,16 +205,21 @@ def _entry_rows(words: int, num: int, den: int) -> Callable:
 
 
 def _refined_rows(words: int, num: int, den: int, seed: int) -> Callable:
-    """The same for rows ``(entry, digest, text)``: entries of a second partition, within the given one."""
+    """The same for rows ``(digest, given, text)``: entries of a second partition within each given one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            digests = batch["digest"].to_numpy(zero_copy_only=False).view(U)
             for lo, hi, data, offs in text_slices(batch["text"]):
                 row, h = shingle_sets(data, offs, words)
                 r, key = entries(row, h, hi - lo, num, den, seed)
-                cut = batch.slice(lo, hi - lo)
-                given, digest = (cut[c].to_numpy(zero_copy_only=False).view(U) for c in ("entry", "digest"))
-                yield _combined(mix(key + given[r]), digest[r])
+                order = np.argsort(r, kind="stable")
+                key, bounds = key[order], per_row(r[order], hi - lo)
+                for i in range(lo, hi):
+                    mine = key[bounds[i - lo] : bounds[i - lo + 1]]
+                    given = batch["given"][i].values.to_numpy(zero_copy_only=False).view(U)
+                    both = mix(mine[None, :] + mix(given)[:, None]).ravel()
+                    yield _combined(both, np.full(len(both), digests[i]))
 
     return run
 
@@ -303,37 +313,77 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int,
     return scratch.stage(rows.mapInArrow(_checked(words, num, den), "a bigint, b bigint"))
 
 
-def _roots(links: DataFrame, scratch: Scratch) -> DataFrame:
-    return scratch.stage(components(links, scratch))
-
-
 def _apart(members: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(entry, digest, root, n)``: members of entries whose sets aren't all in one component."""
+    """``(entry, digest, n, pivot)``: members of entries whose sets aren't all in one component."""
     all_of = members.select("entry", F.col("b").alias("digest")).unionByName(members.select("entry", F.col("a").alias("digest"))).distinct()
     named = all_of.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    mixed = named.groupBy("entry").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
-    return scratch.stage(named.join(mixed.where("x <> y").select("entry", "n").hint("merge"), "entry"))
+    mixed = named.groupBy("entry").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.min("digest").alias("pivot"))
+    return scratch.stage(named.select("entry", "digest").join(mixed.where("x <> y").select("entry", "n", "pivot").hint("merge"), "entry"))
+
+
+def shared_counts(row_x: np.ndarray, h_x: np.ndarray, n_x: int, row_y: np.ndarray, h_y: np.ndarray, n_y: int) -> np.ndarray:
+    """Sizes of the intersections of all sets of two blocks, by products over their common members."""
+    common = np.intersect1d(h_x, h_y)
+    counts = np.zeros((n_x, n_y), np.float32)
+    for lo in range(0, len(common), 4096):
+        part = common[lo : lo + 4096]
+        sides = []
+        for row, h, n in ((row_x, h_x, n_x), (row_y, h_y, n_y)):
+            at = np.minimum(np.searchsorted(part, h), len(part) - 1)
+            held = part[at] == h
+            side = np.zeros((n, len(part)), np.float32)
+            side[row[held], at[held]] = 1
+            sides.append(side)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def _tile(words: int, num: int, den: int) -> Callable:
+    """Links within one tile pair of a group, as one row to its local root for each linked set."""
+
+    def sets(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        rows, hashes = [], []
+        for lo, _, data, offs in text_slices(table["text"]):
+            row, h = shingle_sets(data, offs, words)
+            rows.append(row + lo)
+            hashes.append(h)
+        return (np.concatenate(rows), np.concatenate(hashes)) if rows else (np.zeros(0, np.int64), np.zeros(0, U))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        x = table.filter(pa.compute.equal(table["tile"], low))
+        y = x if low == high else table.filter(pa.compute.equal(table["tile"], high))
+        (row_x, h_x), (row_y, h_y) = sets(x), sets(y)
+        shared = shared_counts(row_x, h_x, len(x), row_y, h_y, len(y))
+        union = np.bincount(row_x, minlength=len(x))[:, None] + np.bincount(row_y, minlength=len(y))[None, :] - shared
+        i, j = np.nonzero((den * shared >= num * union) & (shared > 0))
+        shift = 0 if low == high else len(x)
+        digest = np.concatenate([t["digest"].to_numpy() for t in ((x,) if low == high else (x, y))])
+        root = local_roots(len(digest), [(i, j + shift)])
+        some = root != np.arange(len(root))
+        return pa.table({"a": digest[some], "b": digest[root[some]]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return run
 
 
-def _cross_pairs(apart: DataFrame, sizes: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of members of one entry in different components, of sizes that can link, not yet tried."""
-    side = apart.join(sizes, "digest")
-    x, y = side.alias("x"), side.alias("y")
-    pairs = x.join(y, F.expr(f"x.entry = y.entry and x.digest < y.digest and x.root <> y.root and {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)"))
-    pairs = pairs.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done.hint("merge"), ["a", "b"], "left_anti")
+def _within(groups: DataFrame, sizes: DataFrame, texts: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Links within groups ``(pivot, digest)``: all pairs, in tile products of bounded size."""
+    groups = groups.join(sizes, "digest")
+    tiles = groups.groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / TILE_SETS, F.sum("size") / TILE_MEMBERS)).alias("tiles"))
+    tiled = groups.join(tiles.hint("merge"), "pivot").withColumn("tile", F.pmod(F.xxhash64("digest"), "tiles"))
+    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
+    tiled = tiled.select("pivot", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "digest")
+    return scratch.stage(tiled.join(texts, "digest").groupBy("pivot", "low", "high").applyInArrow(_tile(words, num, den), "a bigint, b bigint"))
 
 
 def jaccard_classes(
     docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(_id, _key, doc_id, n_shingles, component_id, n_set_links)``: one row a document.
+    """``(_id, _key, doc_id, n_shingles, component_id, kept)``: one row a document.
 
     Documents link when ``den * common >= num * union`` of their shingle sets; ``component_id`` is
-    the smallest id reachable by links, the document itself included. ``n_set_links`` counts the
-    verified links found for its set with other, different sets (all that the components need, not
-    every pair of a group); nulls among ids stay null.
+    the smallest id reachable by links, the document itself included (null ids come first and
+    stay null). ``kept`` marks the one of each component with the smallest id and row key.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
@@ -351,40 +401,30 @@ def jaccard_classes(
         texts = scratch.stage(texts.dropDuplicates(["digest"]))
     sizes = one.select("digest", "size")
 
-    tried = scratch.stage(members.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = _verify(tried, texts, words, num, den, scratch)
-    roots = _roots(links, scratch)
-    for level in (1, 2):
-        apart = _apart(members, roots, scratch)
-        if apart.isEmpty():
-            break
-        large = apart.where(F.col("n") > SMALL_BUCKET) if level == 1 else apart.limit(0)
-        direct = apart.where(F.col("n") <= SMALL_BUCKET) if level == 1 else apart
-        pairs = scratch.stage(_cross_pairs(direct, sizes, tried, num, den))
-        tried = tried.unionByName(pairs)
-        links = links.unionByName(_verify(pairs, texts, words, num, den, scratch))
-        roots = _roots(links, scratch)
-        if level == 2 or large.isEmpty():
-            break
-        again = large.select("entry", "digest").join(texts, "digest")
-        members = _members(again.mapInArrow(_refined_rows(words, num, den, 0x5851F42D4C957F2D), MEMBERS), scratch)
-        pivots = members.select("a", "b").distinct()
-        named = roots.select("node", "root")
-        pivots = pivots.join(named.withColumnsRenamed({"node": "a", "root": "x"}), "a", "left").join(named.withColumnsRenamed({"node": "b", "root": "y"}), "b", "left")
-        pivots = pivots.where(F.coalesce("x", "a") != F.coalesce("y", "b")).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        pivots = scratch.stage(pivots.join(tried.hint("merge"), ["a", "b"], "left_anti"))
-        tried = tried.unionByName(pivots)
-        links = links.unionByName(_verify(pivots, texts, words, num, den, scratch))
-        roots = _roots(links, scratch)
-
-    degree = links.select(F.col("a").alias("digest")).unionByName(links.select(F.col("b").alias("digest"))).groupBy("digest").agg(F.count("*").alias("n_set_links"))
+    pairs = scratch.stage(members.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = _verify(pairs, texts, words, num, den, scratch)
+    roots = scratch.stage(components(links, scratch))
+    apart = _apart(members, roots, scratch)
+    if not apart.isEmpty():
+        groups = apart.where(F.col("n") <= SMALL_BUCKET).select("pivot", "digest")
+        large = apart.where(F.col("n") > SMALL_BUCKET)
+        if not large.isEmpty():
+            again = large.groupBy("digest").agg(F.collect_list("entry").alias("given")).join(texts, "digest")
+            refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND), MEMBERS), scratch)
+            groups = groups.unionByName(_apart(refined, roots, scratch).select("pivot", "digest"))
+        more = _within(scratch.stage(groups.distinct()), sizes, texts, words, num, den, scratch)
+        if not more.isEmpty():
+            roots = scratch.stage(components(links.unionByName(more), scratch))
+
     named = sets.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    full = scratch.stage(named.join(degree, "digest", "left").withColumn("n_set_links", F.coalesce("n_set_links", F.lit(0).cast("bigint"))))
-    lowest = full.where("size > 0").groupBy("root").agg(F.min("_id").alias("low"))
+    full = scratch.stage(named)
+    lowest = full.where("size > 0").groupBy("root").agg(F.min(F.struct("_id", "_key")).alias("low"))
     out = full.join(lowest.hint("merge"), "root", "left")
-    out = out.withColumn("low", F.when(F.col("size") > 0, F.col("low")).otherwise(F.col("_id")))
+    own = F.struct("_id", "_key")
+    out = out.withColumn("low", F.when(F.col("size") > 0, F.col("low")).otherwise(own)).withColumn("kept", F.col("low") == own)
+    out = out.withColumn("low", F.col("low._id"))
     scratch.close(full)
     return out.select(
         "_id", "_key", plain_id(), F.col("size").alias("n_shingles"),
-        F.when(F.col("low") != NULL_ID, F.col("low")).alias("component_id"), "n_set_links",
+        F.when(F.col("low") != NULL_ID, F.col("low")).alias("component_id"), "kept",
     )
