@@ -56,54 +56,77 @@ def hashes(data: np.ndarray, width: int) -> np.ndarray:
     return mix((total[width:] - total[:-width]) * back[: n - width + 1])
 
 
-def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
+def sliding(h: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
+    """The least (or with ``pick`` the greatest) of every ``width`` neighbours."""
     span = 1
     while span * 2 <= width:
-        h = np.minimum(h[:-span], h[span:])
+        h = pick(h[:-span], h[span:])
         span *= 2
     rest = width - span
-    return np.minimum(h[:-rest], h[rest:]) if rest else h
+    return pick(h[:-rest], h[rest:]) if rest else h
+
+
+GRAMS = LENGTH - GRAM + 1  # in a string
 
 
 def runs_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``(key, row, first start, starts)`` of all runs, starts counted within their text."""
+    """``(key, row, first start, starts, twice)`` of all runs, starts counted within their text.
+
+    ``twice`` marks the runs whose key may occur at two places inside, so that they may repeat themselves.
+    """
     none = np.zeros(0, np.int64)
-    if len(data) < LENGTH:
-        return none.astype(U), none, none, none
-    least = sliding_least(hashes(data, GRAM), LENGTH - GRAM + 1)
     count = np.maximum(np.diff(offs) - LENGTH + 1, 0)
+    if not count.any():
+        return none.astype(U), none, none, none, none.astype(bool)
+    h = hashes(data, GRAM)
     row = np.repeat(np.arange(len(count)), count)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    if not len(row):
-        return none.astype(U), none, none, none
-    key = least[offs[row] + place]
+    before = np.cumsum(count) - count
+    place = np.arange(len(row)) - before[row]
+    key = sliding(h, GRAMS)[offs[row] + place]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    if count.max() > LONGEST_RUN:
+        new |= place % LONGEST_RUN == 0
     at = np.flatnonzero(new)
-    long = np.diff(np.append(at, len(key)))
-    if (long > LONGEST_RUN).any():
-        parts = -(-long // LONGEST_RUN)
-        at = np.repeat(at, parts) + (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)) * LONGEST_RUN
-        long = np.diff(np.append(at, len(key)))
-    return key[at], row[at], place[at], long
+
+    # A gram stands for some string if it is as small as the greatest key of the strings that hold it.
+    pad = GRAMS - 1
+    spread = np.zeros(len(key) + pad * (len(count) + 1), U)
+    spread[np.arange(len(key)) + pad * (row + 1)] = key
+    most = sliding(spread, GRAMS, np.maximum)
+    grams = np.where(count > 0, count + pad, 0)
+    of = np.repeat(np.arange(len(count)), grams)
+    gram = np.arange(len(of)) - np.repeat(np.cumsum(grams) - grams, grams)
+    mine = h[offs[of] + gram]
+    stands = np.flatnonzero(mine == most[before[of] + pad * of + gram])
+    p, q = stands[:-1], stands[1:]
+    again = (mine[p] == mine[q]) & (of[p] == of[q]) & (gram[q] - gram[p] <= GRAMS)
+    p, q = p[again], q[again]
+    run = np.cumsum(new) - 1
+    twice = np.zeros(len(at), bool)
+    twice[run[before[of[p]] + np.minimum(gram[p], count[of[p]] - 1)]] = True
+    twice[run[before[of[q]] + np.maximum(gram[q] - pad, 0)]] = True
+    return key[at], row[at], place[at], np.diff(np.append(at, len(key))), twice
 
 
 RUNS = "key bigint, _id bigint, _key bigint, at int, starts int, known boolean"
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs; those that share a key within a slice are known, one mark (``at`` -1) stands for them."""
+    """Runs; those that share a key within a slice, or hold it twice, are known; one mark (``at`` -1)
+    stands for them."""
     for batch in batches:
         ids, keys = (batch[c].to_numpy(zero_copy_only=False) for c in ("_id", "_key"))
         for lo, hi, data, offs in text_slices(batch["text"]):
-            key, row, at, starts = runs_of(data, offs)
+            key, row, at, starts, twice = runs_of(data, offs)
             if not len(key):
                 continue
             order = np.argsort(key, kind="stable")
             key, row, at, starts = key[order], row[order], at[order], starts[order]
-            same = key[1:] == key[:-1]
-            known = np.append(False, same) | np.append(same, False)
-            mark = known & ~np.append(False, same)
+            new = np.append(True, key[1:] != key[:-1])
+            group = np.cumsum(new) - 1
+            known = ((np.bincount(group) > 1) | (np.bincount(group, twice[order]) > 0))[group]
+            mark = known & new
             m = int(mark.sum())
             cols = [
                 signed(np.append(key, key[mark])), pa.array(np.append(ids[lo:hi][row], np.zeros(m, np.int64))),
@@ -268,10 +291,9 @@ def _classified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close(group):
         """A key whose contexts are all equal is repeated as a whole; others wait for a merge."""
         nonlocal size
-        if len(group) == 1:
-            key, digest, times, body = group[0]
-            if times > 1:
-                out.append((key, digest, [0], [len(body) - LENGTH + 1]))
+        if len(group) == 1 and group[0][2] > 1:
+            key, digest, _, body = group[0]
+            out.append((key, digest, [0], [len(body) - LENGTH + 1]))
             return
         held.extend(group)
         size += sum(len(g[3]) for g in group)
