@@ -13,7 +13,7 @@ operator is one narrow projection.
 | phone | +country or (area) forms | all digits after a leading +1, or after + |
 | ssn | ddd-dd-dddd, no group of zeros | all digits |
 | email | local part, host with a dot | letters and digits of the local part, each within its class |
-| secret | 32 hex digits or more | digits and letters a to f, each within its class |
+| secret | 32 hex digits or more, a letter among them | digits and letters a to f, each within its class |
 
 The permutation is a Feistel network of eight rounds. Over strings, even and odd places take turns:
 each place moves by keyed SHA-512 output that depends on all places of the other half, modulo the
@@ -176,7 +176,7 @@ def kind_of(value: Column) -> Column:
     digits = _digits(value)
     return (
         F.when(value.contains("@"), "email")
-        .when(value.rlike("^[0-9a-f]{32,}$"), "secret")
+        .when(value.rlike("^[0-9a-f]{32,}$"), F.when(value.rlike("[a-f]"), "secret"))
         .when(value.rlike(r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"), F.when(F.forall(F.split(value, r"\."), lambda o: o.cast("int") <= 255), "ip"))
         .when(_day(value).isNotNull(), "date")
         .when(value.rlike(r"^\d{3}-\d\d-\d{4}$"), F.when(~value.rlike("^000|-00-|0000$"), "ssn"))

@@ -22,7 +22,7 @@ CASES = [
     ("card", "4539578763621486", r"\d{16}"), ("card", "4539 5787 6362 1486", r"\d{4} \d{4} \d{4} \d{4}"), ("date", "1987-03-12", r"\d{4}-\d\d-\d\d"),
     ("date", "12/03/1987", r"\d\d/\d\d/\d{4}"), ("date", "12.03.1987", r"\d\d\.\d\d\.\d{4}"), ("ip", "193.7.1.22", r"\d+\.\d+\.\d+\.\d+"),
     ("phone", "+1 (743) 555-3824", r"\+1 \(\d{3}\) \d{3}-\d{4}"), ("phone", "743-555-3824", r"\d{3}-\d{3}-\d{4}"), ("ssn", "219-09-9999", r"\d{3}-\d\d-\d{4}"),
-    ("email", "Jo.Doe7@mail3.example.com", r"[A-Z][a-z]\.[A-Z][a-z]{2}\d@mail3\.example\.com"), ("secret", "11acdfb36bb72224148e6160f674b4be45601bff", r"\d\d[a-f]{4}\d.*"),
+    ("email", "Jo.Doe7@mail3.example.com", r"[A-Z][a-z]\.[A-Z][a-z]{2}\d@mail3\.example\.com"), ("secret", "11acdfb36bb72224148e6160f674b4be45601bff", r"\d\d[a-f]{5}\d.*"),
 ]
 
 
