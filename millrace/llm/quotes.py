@@ -107,7 +107,7 @@ def linked_messages(
     return out.select(
         shown(F.col("conv")).alias(conv_col), shown(F.col("turn")).alias(turn_col), F.col("role").alias(role_col), F.col("text").alias(text_col),
         "n_quotes", "deepest", shown(F.col("reply_to")).alias("reply_to"), shown(F.coalesce("thread", "turn")).alias("thread"),
-        F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), "text", F.lit("<|end|>\n")).alias("formatted"),
+        F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), "text", F.lit("\n<|end|>\n")).alias("formatted"),
     )
 
 
