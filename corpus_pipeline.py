@@ -68,6 +68,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = scratch.stage(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.llm.decontaminate import benchmark_leaks
 from millrace.llm.embedding_dedup import embedding_classes
 from millrace.llm.jaccard_join import jaccard_classes
+from millrace.llm.oracles import ORACLES  # noqa: F401
 from millrace.llm.packing import length_batches
 from millrace.llm.pii import KINDS, pseudonymised
 from millrace.llm.quality import quality_scores
@@ -80,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_embedding_dedup, op7_decontamination, op8_packing, op9_token_counts, op10_pii,
     )
 }
-
-ORACLES: dict[str, str] = {}
