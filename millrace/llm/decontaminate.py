@@ -193,7 +193,7 @@ def _search(asked, latent: np.ndarray, cosine: float, sure: float, likely: float
 
 
 def benchmark_leaks(
-    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.3, sure: float = 0.7, likely: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.3, sure: float = 0.75, likely: float = 0.6, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None,
 ) -> DataFrame:
     """``(_id, _key, doc_id, item_id, lcs_share, answer_found)``: one row for each document and item it leaks."""

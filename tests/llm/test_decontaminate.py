@@ -32,8 +32,9 @@ def test_bit_parallel_subsequence():
 
 def test_copies_and_paraphrases_are_found(spark):
     rng = random.Random(5)
-    vocab = [f"{a}{b}" for a in ("the", "ing", "ou", "re", "st", "bl", "an", "er") for b in ("ha", "tion", "le", "ea", "on", "is", "or", "at")]
-    weight = [1 / (i + 1) for i in range(len(vocab))]
+    parts = ("the", "ing", "ou", "re", "st", "bl", "an", "er", "tion")
+    vocab = [a + b + c for a in parts for b in parts for c in parts]
+    weight = [1 / (i + 8) for i in range(len(vocab))]
     prose = lambda n: rng.choices(vocab, weight, k=n)
     items = [prose(rng.randrange(12, 120)) for _ in range(25)]
     docs, leaks = [], set()
