@@ -98,6 +98,8 @@ def column_chunker() -> Callable[..., dict[str, list]]:
         keep = [c for c in batch if c != text]
         out: dict[str, list] = {c: [] for c in [*keep, "chunk_no", "chunk"]}
         for row, body in enumerate(batch[text]):
+            if body is None:
+                continue
             starts = [0] if len(body) < block_size else range(0, len(body), skip_by)
             for no, start in enumerate(starts):
                 for c in keep:
@@ -129,7 +131,9 @@ def map_batches(
         for pdf in batches:
             for i in range(0, len(pdf), batch_size):
                 part = pdf.iloc[i : i + batch_size]
-                yield pd.DataFrame(fn({c: part[c].tolist() for c in part.columns}, **kwargs))
+                out = pd.DataFrame(fn({c: part[c].tolist() for c in part.columns}, **kwargs))
+                if len(out):
+                    yield out
 
     return (df.repartition(workers) if workers else df).mapInPandas(run, schema)
 
@@ -163,3 +167,10 @@ def chunk_lateral(df: DataFrame, key: Sequence[str], text: str, block_size: int,
 def append_eos(df: DataFrame, text: str = "text", eos: str = "</s>") -> DataFrame:
     """Put the end marker after every text."""
     return df.withColumn(text, F.concat(F.col(text), F.lit(eos)))
+
+
+def metadata_prefix(df: DataFrame, columns: Sequence[str], text: str = "text", mark: str = "\n") -> DataFrame:
+    """Put ``name: value`` lines of the given columns before every text; null values are left out."""
+    parts = [F.concat(F.lit(f"{c}: "), F.col(c).cast("string")) for c in columns]
+    head = F.concat_ws(mark, *parts)
+    return df.withColumn(text, F.concat(head, F.when(head != "", F.lit(mark)).otherwise(F.lit("")), F.col(text)))

@@ -76,14 +76,17 @@ def context_tail(
 
     Rows are placed by the running count of tokens. A row's context then lies within the last
     ``n`` places, so the frame holds under ``2 n`` tokens however long the key, and keys are cut
-    into tiles of places. A row close to the end of its tile is copied to the next one.
+    into tiles of places. A row close to the end of its tile is copied to the next one. Null
+    tokens count as none.
     """
     tile = max(block, n)
-    placed = with_running_sum(df, key, order, F.size(tokens).cast("bigint"), "_end", block)
+    size = F.when(F.col(tokens).isNull(), 0).otherwise(F.size(tokens)).cast("bigint")
+    placed = with_running_sum(df, key, order, size, "_end", block)
     own = F.floor(F.col("_end") / tile)
     reach = F.floor((F.col("_end") + n - 1) / tile)
     tiled = placed.withColumn("_own", own).withColumn("_tile", F.explode(F.array_distinct(F.array(own, reach))))
     frame = Window.partitionBy(key, "_tile").orderBy("_end").rangeBetween(-(n - 1), 0)
-    seen = F.flatten(F.collect_list(last_n(F.col(tokens), n)).over(frame))
+    # Rows without tokens share a place with others and add nothing to the frame.
+    seen = F.flatten(F.collect_list(F.when(F.size(tokens) > 0, last_n(F.col(tokens), n))).over(frame))
     rows = tiled.withColumn("_seen", seen).where(F.col("_tile") == F.col("_own"))
     return rows.select(*df.columns, last_n(F.col("_seen"), n).alias(name))

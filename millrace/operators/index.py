@@ -41,15 +41,18 @@ def _numbered(df: DataFrame, order: Sequence[str], name: str, partitions: int |
 def with_row_index(
     df: DataFrame, order: Sequence[str], name: str = "row_index", partitions: int | None = None
 ) -> DataFrame:
-    """Number the rows from zero in the order of ``order``, which must tell rows apart.
+    """Number the rows from zero in the order of ``order``; tied rows get numbers in any order.
 
     Only the order columns are sampled, sorted and staged; the other columns join the numbers
     once, on all order columns, so a key shared by many rows is still spread. ``df`` is read
-    for the sample, the sort and the join: stage it first if it is costly to compute.
+    for the sample, the sort and the join: stage it first if it is costly to compute. Where the
+    order columns don't tell rows apart, the whole rows are sorted and staged instead.
     """
     if set(order) == set(df.columns):
         return _numbered(df, order, name, partitions)
     numbers = _numbered(df.select(*order), order, name, partitions)
+    if not numbers.groupBy(*order).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        return _numbered(df, order, name, partitions)
     for i, c in enumerate(order):
         numbers = numbers.withColumnRenamed(c, f"_order{i}")
     same = [F.col(c).eqNullSafe(F.col(f"_order{i}")) for i, c in enumerate(order)]

@@ -7,17 +7,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.functions import predict_batch_udf
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import arrays as A
 
-# A model is held by the driver and every worker, so its size is checked when it is collected.
-MODEL_CELLS = 10_000_000
-
-
 @dataclass(frozen=True)
 class LinearModel:
     """Scores are ``weights @ x + bias``, one for each label."""
@@ -28,25 +25,25 @@ class LinearModel:
 
 
 def class_centroids(df: DataFrame, vector: str = "embedding", label: str = "label") -> DataFrame:
-    """Mean vector of each label as ``label, pos, value``; map tasks sum before the exchange."""
-    return (
-        df.select(label, F.posexplode(vector).alias("pos", "x"))
-        .groupBy(label, "pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("value"))
-    )
+    """Mean vector of each label as ``label, mean``; one row a label and task crosses the network.
+
+    Rows with a null label or vector play no part; vectors of unequal lengths are an error.
+    """
+    known = df.where(F.col(label).isNotNull() & F.col(vector).isNotNull())
+    dense = known.select(label, array_to_vector(F.col(vector).cast("array<double>")).alias("_v"))
+    return dense.groupBy(label).agg(vector_to_array(Summarizer.mean(F.col("_v"))).alias("mean"))
 
 
 def fit_centroid_model(df: DataFrame, vector: str = "embedding", label: str = "label") -> LinearModel:
-    """Nearest-centroid classifier in linear form, from means computed on the cluster."""
-    cells = class_centroids(df, vector, label).limit(MODEL_CELLS + 1).collect()
-    if len(cells) > MODEL_CELLS:
-        raise ValueError(f"more than {MODEL_CELLS} centroid values")
-    labels = sorted({c[label] for c in cells})
-    row = {v: i for i, v in enumerate(labels)}
-    weights = np.zeros((len(labels), 1 + max(c["pos"] for c in cells)))
-    for c in cells:
-        weights[row[c[label]], c["pos"]] = c["value"]
-    return LinearModel(labels, weights, -0.5 * (weights**2).sum(axis=1))
+    """Nearest-centroid classifier in linear form, from means computed on the cluster.
+
+    The model is what every scoring task holds: one row a label comes to the driver.
+    """
+    means = sorted((r[label], list(r["mean"])) for r in class_centroids(df, vector, label).toLocalIterator())
+    if not means:
+        raise ValueError("no labelled vectors to fit a model on")
+    weights = np.array([m for _, m in means])
+    return LinearModel([v for v, _ in means], weights, -0.5 * (weights**2).sum(axis=1))
 
 
 def request_fanout(df: DataFrame, num_reqs: int) -> DataFrame:
@@ -74,7 +71,10 @@ def batch_score(df: DataFrame, model: LinearModel, vector: str = "embedding", ba
     score = predict_batch_udf(
         make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=[[weights.shape[1]]]
     )
-    scored = df.withColumn("scores", score(F.col(vector).cast("array<double>")))
+    # A null vector is scored as zeros inside and gets null scores.
+    zeros = F.array_repeat(F.lit(0.0), weights.shape[1])
+    scored = df.withColumn("scores", score(F.coalesce(F.col(vector).cast("array<double>"), zeros)))
+    scored = scored.withColumn("scores", F.when(F.col(vector).isNotNull(), F.col("scores")))
     return scored.withColumn("predicted", _label(model))
 
 
@@ -96,13 +96,17 @@ def _label(model: LinearModel):
 def timed_batch_score(df: DataFrame, model: LinearModel, backend: str, vector: str = "embedding") -> DataFrame:
     """Score with wall time around each model call: ``backend, scores, predicted, elapsed_s``.
 
-    ``elapsed_s`` is the time of the call divided over the rows of its Arrow batch.
+    ``elapsed_s`` is the time of the call divided over the rows of its Arrow batch; rows with a null
+    vector are not scored and not returned.
     """
     weights, bias, labels = model.weights, model.bias, np.asarray(model.labels)
 
     def run(batches):
         clock = time.perf_counter
         for pdf in batches:
+            if not len(pdf):
+                continue
+            pdf = pdf[pdf[vector].notna()]
             if not len(pdf):
                 continue
             x = np.stack(pdf[vector].to_numpy()).astype("float64")
@@ -121,26 +125,20 @@ def timed_batch_score(df: DataFrame, model: LinearModel, backend: str, vector: s
     return df.mapInPandas(run, schema)
 
 
-def backend_timing(df: DataFrame, backends: Sequence[str], backend: str = "backend", elapsed: str = "elapsed_s") -> DataFrame:
-    """Time spent on each backend and its speed relative to the first of ``backends``.
+def backend_timing(df: DataFrame, base: str, backend: str = "backend", elapsed: str = "elapsed_s") -> DataFrame:
+    """Time spent on each backend, its median and 95th percentile, and its speed relative to ``base``.
 
-    One aggregate over all rows; the ratio is taken on its single result row.
+    One aggregate with map-side combine gives a row a backend, whichever there are (null among
+    them); the speed is null where ``base`` has no times.
     """
-    of = lambda name: F.when(F.col(backend) == name, F.col(elapsed))
-    stats = df.where(F.col(backend).isin(list(backends))).agg(
-        *[
-            F.struct(
-                F.lit(name).alias("backend"),
-                F.count(of(name)).alias("n"),
-                F.sum(of(name)).alias("total_s"),
-                F.avg(of(name)).alias("mean_s"),
-                F.min(of(name)).alias("min_s"),
-                F.max(of(name)).alias("max_s"),
-            ).alias(f"b{i}")
-            for i, name in enumerate(backends)
-        ]
+    e = F.col(elapsed)
+    stats = df.groupBy(F.col(backend).alias("backend")).agg(
+        F.count(e).alias("n"), F.sum(e).alias("total_s"), F.avg(e).alias("mean_s"), F.min(e).alias("min_s"), F.max(e).alias("max_s"),
+        F.percentile(e, 0.5).alias("p50_s"), F.percentile(e, 0.95).alias("p95_s"),
     )
-    rows = stats.select(F.col("b0.mean_s").alias("_base"), F.inline(F.array(*[f"b{i}" for i in range(len(backends))])))
+    # Few rows meet here, one a backend; the base is taken from the same pass as the rest.
+    whole = stats.agg(F.max(F.when(F.col("backend") == base, F.col("mean_s"))).alias("_base"), F.collect_list(F.struct(*stats.columns)).alias("_rows"))
+    rows = whole.select("_base", F.inline("_rows"))
     return rows.withColumn("speedup", F.col("_base") / F.col("mean_s")).drop("_base")
 
 
@@ -151,7 +149,8 @@ def compare_backends(a: DataFrame, b: DataFrame, key: str, scores: str = "scores
     """
     left = a.select(key, F.col(scores).alias("_a"))
     right = b.select(key, F.col(scores).alias("_b"))
-    diff = F.array_max(F.zip_with("_a", "_b", lambda x, y: F.abs(x - y)))
+    uneven = F.raise_error("scores of unequal length").cast("double")
+    diff = F.when(F.size("_a") != F.size("_b"), uneven).otherwise(F.array_max(F.zip_with("_a", "_b", lambda x, y: F.abs(x - y))))
     return left.join(right, key, "inner").select(
         key,
         diff.alias("max_abs_diff"),

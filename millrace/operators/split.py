@@ -14,7 +14,7 @@ _DIGITS = 4
 _COLLECT = 10_000
 
 
-def seeded_hash(key: Sequence[str], seed: int) -> Column:
+def seeded_hash(key: Sequence[str], seed: int | str) -> Column:
     """32 hex digits that depend on the seed and the key alone, not on partitioning."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
 
@@ -27,7 +27,8 @@ def split_threshold(df: DataFrame, key: Sequence[str], test_size: float | int, s
     """The hash up to which exactly ``test_size`` of the rows lie; empty when that is no row.
 
     Found by counting hash prefixes, then prefixes within the one prefix that holds the wanted
-    rank: two or three scans of the key columns, at most 65,536 counts to the driver in each.
+    rank: three or four scans of the key columns, at most 65,536 counts to the driver in each. Raises
+    if a key that several rows share lies across the cut.
     """
     hashes = df.select(seeded_hash(key, seed).alias("h"))
     prefix, rank = "", None
@@ -36,7 +37,7 @@ def split_threshold(df: DataFrame, key: Sequence[str], test_size: float | int, s
         length = len(prefix) + _DIGITS
         counts = sorted(inside.groupBy(F.substring("h", 1, length).alias("p")).count().collect())
         if rank is None:
-            rank = _test_rows(test_size, sum(c["count"] for c in counts))
+            rank = wanted = _test_rows(test_size, sum(c["count"] for c in counts))
             if rank <= 0:
                 return ""
         for c in counts:
@@ -46,9 +47,11 @@ def split_threshold(df: DataFrame, key: Sequence[str], test_size: float | int, s
         prefix = c["p"]
         if c["count"] <= _COLLECT or length >= 32:
             break
-    if len(prefix) >= 32:
-        return prefix
-    return sorted(r["h"] for r in hashes.where(F.col("h").startswith(prefix)).collect())[rank - 1]
+    if len(prefix) < 32:
+        prefix = sorted(r["h"] for r in hashes.where(F.col("h").startswith(prefix)).collect())[rank - 1]
+    if hashes.where(F.col("h") <= prefix).count() != wanted:
+        raise ValueError(f"rows share the key {list(key)}, so no split of exactly {wanted} rows by key exists")
+    return prefix
 
 
 def with_split(
@@ -72,3 +75,23 @@ def train_test_split(
     """Disjoint train and test sides that together hold every row."""
     flagged = with_split(df, key, test_size, seed, "_test")
     return flagged.where(~F.col("_test")).drop("_test"), flagged.where("_test").drop("_test")
+
+
+def group_holdout(df: DataFrame, group: str, held: Sequence[str], name: str = "is_test") -> DataFrame:
+    """Flag the rows of the held-out groups: whole groups go to the test side, null groups to train."""
+    return df.withColumn(name, F.coalesce(F.col(group).isin(list(held)), F.lit(False)))
+
+
+def split_leakage(train: DataFrame, test: DataFrame, text: str = "text", shortest: int = 40) -> DataFrame:
+    """``line, n_test, n_train``: lines of ``shortest`` characters or more that lie on both sides.
+
+    Each side's lines are counted by hash with map-side combine, so a license line that a third of
+    all documents hold is one row before the join.
+    """
+
+    def lines(df: DataFrame, n: str) -> DataFrame:
+        rows = df.select(F.explode(F.split(F.col(text), "\n")).alias("line"))
+        rows = rows.select(F.trim("line").alias("line")).where(F.length("line") >= shortest)
+        return rows.groupBy("line").agg(F.count(F.lit(1)).alias(n))
+
+    return lines(test, "n_test").join(lines(train, "n_train"), "line")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +20,16 @@ from millrace.functions.arrays import (
     pad_to,
 )
 from millrace.operators.index import LIMIT_IN_ONE_TASK, with_batch_id, with_row_index
+from millrace.operators.split import seeded_hash
 from millrace.session import stage
 from millrace.sizing import BROADCAST_BYTES, fits_broadcast
 
 # Listed because the meaning of white space differs between engines.
 SPACES = "\n\t\r"
 VOCAB_SIZE = 30_000
+# The marks of fill-in-the-middle examples and the id of a hidden token.
+FIM_MARKS = ("<fim_prefix>", "<fim_suffix>", "<fim_middle>")
+MASK_ID = -1
 MARKERS = {PAD_ID: "<pad>", EOS_ID: "</s>", UNK_ID: "<unk>"}
 
 
@@ -58,19 +65,37 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text: str = "text") -> Da
     return stage(ranked.select("word", "n", (F.col("_rank") + FIRST_WORD_ID).cast("int").alias("id")), "vocab")
 
 
-def _matched(
-    df: DataFrame, vocab: DataFrame, key: Sequence[str], items: Column, item: str, limit_bytes: int
-) -> DataFrame:
-    """Explode ``items`` to ``(key, _pos, item)`` rows and look each one up in the vocabulary.
+def _matched(df: DataFrame, vocab: DataFrame, key: Sequence[str], items: Column, item: str) -> DataFrame:
+    """Explode ``items`` to ``(key, _pos, item)`` rows and look each one up in a large vocabulary."""
+    tokens = df.select(*key, F.posexplode_outer(items).alias("_pos", item))
+    return tokens.join(vocab.hint("merge"), item, "left")
+
+
+def _mapped(df: DataFrame, key: Sequence[str], items: Column, table: dict, missing, name: str, kind: pa.DataType) -> DataFrame:
+    """Replace the items of an array by what ``table`` has for them, as ``key, name``.
 
-    With a vocabulary that fits a broadcast the documents are hash-partitioned by key before
-    they are exploded, so that one exchange of text serves the lookup and the gathering by key.
+    One narrow step over Arrow columns: the items of a batch are looked up at once and cut into
+    lists again at the same places. Nothing is exploded or shuffled.
     """
-    if not fits_broadcast(vocab, limit_bytes):
-        tokens = df.select(*key, F.posexplode_outer(items).alias("_pos", item))
-        return tokens.join(vocab.hint("merge"), item, "left")
-    tokens = df.repartition(*key).select(*key, F.posexplode_outer(items).alias("_pos", item))
-    return tokens.join(F.broadcast(vocab), item, "left")
+    spark = df.sparkSession
+    held = spark.sparkContext.broadcast(table)
+    names = list(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = pa.array(list(held.value))
+        give = pa.array([*held.value.values(), missing], kind)
+        for batch in batches:
+            lists = batch["_items"]
+            flat = lists.flatten()
+            at = pc.fill_null(pc.index_in(flat.cast(have.type), value_set=have), len(have))
+            counts = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))
+            out = pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), give.take(at))
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], out], [*names, name])
+
+    rows = df.select(*key, items.alias("_items"))
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    made = "int" if kind == pa.int32() else "string"
+    return rows.mapInArrow(run, ", ".join([f"`{c}` {types[c]}" for c in key] + [f"{name} array<{made}>"]))
 
 
 def encode(
@@ -80,13 +105,22 @@ def encode(
     text: str = "text",
     eos: bool = False,
     limit_bytes: int = BROADCAST_BYTES,
+    max_tokens: int | None = None,
 ) -> DataFrame:
     """Word ids of each document as ``key, ids``; unknown words become the unknown id.
 
-    ``key`` must be unique. Position and id travel packed in one long, so gathering an array
-    sorts plain numbers.
+    ``max_tokens`` keeps the first words only, before they are looked up; a null text has no ids.
+    With a vocabulary measured to fit a broadcast this is one narrow step. A larger one is
+    joined by word and the ids are gathered by ``key``, which must be unique then; position
+    and id travel packed in one long, so gathering an array sorts plain numbers.
     """
-    found = _matched(df.select(*key, text), vocab.select("word", "id"), key, words(F.col(text)), "word", limit_bytes)
+    found = F.coalesce(words(F.col(text)), F.array().cast("array<string>"))
+    found = F.slice(found, 1, max_tokens) if max_tokens else found
+    if fits_broadcast(vocab.select("word", "id"), limit_bytes):
+        table = {r["word"]: r["id"] for r in vocab.select("word", "id").collect()}
+        out = _mapped(df, key, found, table or {"": UNK_ID}, UNK_ID, "ids", pa.int32())
+        return out.select(*key, (F.concat("ids", F.array(F.lit(EOS_ID))) if eos else F.col("ids")).alias("ids"))
+    found = _matched(df.select(*key, text), vocab.select("word", "id"), key, found, "word")
     packed = F.shiftleft(F.col("_pos").cast("bigint"), 32) + F.coalesce(F.col("id"), F.lit(UNK_ID))
     gathered = found.groupBy(*key).agg(F.sort_array(F.collect_list(packed)).alias("_packed"))
     ids = F.transform("_packed", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
@@ -97,7 +131,11 @@ def decode(
     df: DataFrame, vocab: DataFrame, key: Sequence[str], ids: str = "ids", limit_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Text of each id array as ``key, text``; marker ids come back as their marker."""
-    found = _matched(df.select(*key, ids), vocab.select("id", "word"), key, F.col(ids), "id", limit_bytes)
+    if fits_broadcast(vocab.select("id", "word"), limit_bytes):
+        table = {r["id"]: r["word"] for r in vocab.select("id", "word").collect()} | MARKERS
+        out = _mapped(df, key, F.coalesce(F.col(ids), F.array().cast("array<int>")), table, MARKERS[UNK_ID], "_words", pa.string())
+        return out.select(*key, F.array_join("_words", " ").alias("text"))
+    found = _matched(df.select(*key, ids), vocab.select("id", "word"), key, F.col(ids), "id")
     word = F.coalesce(F.col("word"), F.lit(MARKERS[UNK_ID]))
     for marker_id, marker in MARKERS.items():
         word = F.when(F.col("id") == marker_id, F.lit(marker)).otherwise(word)
@@ -127,3 +165,30 @@ def collate(df: DataFrame, order: Sequence[str], batch_size: int, side: str = "r
         mask_to(F.col(ids), F.col("_longest"), side).alias("attention_mask"),
         pad_to(F.col(ids), F.col("_longest"), side, IGNORED_LABEL).alias("labels"),
     )
+
+
+def fim_transform(df: DataFrame, key: Sequence[str], text: str = "text", rate: float = 0.5, seed: int = 41, marks: Sequence[str] = FIM_MARKS) -> DataFrame:
+    """Fill-in-the-middle examples: of a share ``rate`` of the rows the text is cut at two places into
+    prefix, middle and suffix and written prefix, suffix, middle, each after its mark.
+
+    The choice and the cuts come from a seeded hash of the key; one narrow step. Null stays null.
+    """
+    body = F.col(text)
+    pick = lambda what, n: F.pmod(F.conv(F.substring(seeded_hash(key, f"{seed}|{what}"), 1, 12), 16, 10).cast("bigint"), n)
+    chosen = pick("fim", F.lit(1_000_000)) < int(rate * 1_000_000)
+    a, b = pick("a", F.length(body) + 1), pick("b", F.length(body) + 1)
+    lo, hi = F.least(a, b).cast("int"), F.greatest(a, b).cast("int")
+    moved = F.concat(
+        F.lit(marks[0]), body.substr(F.lit(1), lo), F.lit(marks[1]), body.substr(hi + 1, F.length(body)), F.lit(marks[2]), body.substr(lo + 1, hi - lo)
+    )
+    return df.withColumn(text, F.when(chosen, moved).otherwise(body)).withColumn("is_fim", chosen)
+
+
+def mlm_mask(df: DataFrame, key: Sequence[str], ids: str = "ids", rate: float = 0.15, seed: int = 41, mask_id: int = MASK_ID) -> DataFrame:
+    """Masked-token examples: of a share ``rate`` of the places the id becomes ``mask_id`` and the label
+    keeps it; every other label is ignored. Places come from a seeded hash of key and position."""
+    base = seeded_hash(key, f"{seed}|mlm")
+    hidden = lambda i: F.conv(F.substring(F.md5(F.concat_ws("|", base, i.cast("string"))), 1, 8), 16, 10).cast("bigint") < int(rate * 2**32)
+    masked = F.transform(ids, lambda x, i: F.when(hidden(i), F.lit(mask_id)).otherwise(x))
+    labels = F.transform(ids, lambda x, i: F.when(hidden(i), x).otherwise(F.lit(IGNORED_LABEL)))
+    return df.withColumn("input_ids", masked).withColumn("labels", labels)

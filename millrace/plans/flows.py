@@ -67,7 +67,7 @@ def encode_requests(
 ) -> DataFrame:
     """Fixed-length ids and mask of each request, repeated ``num_reqs`` times after encoding once."""
     ids, mask = A.pad_truncate(F.col("ids"), length)
-    encoded = encode(df, vocab, key, text).select(*key, ids.alias("input_ids"), mask.alias("attention_mask"))
+    encoded = encode(df, vocab, key, text, max_tokens=length).select(*key, ids.alias("input_ids"), mask.alias("attention_mask"))
     return S.request_fanout(encoded, num_reqs)
 
 

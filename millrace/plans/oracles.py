@@ -200,8 +200,9 @@ FROM (SELECT regexp_extract_all(text, '[^ \\n\\t\\r]+') AS w FROM documents)""",
     "backend_timing": """
 SELECT event_type AS backend, count(value) AS n, min(value) AS min_s, max(value) AS max_s,
        round(sum(value), 6) AS total_s, round(avg(value), 6) AS mean_s,
+       round(quantile_cont(value, 0.5), 6) AS p50_s, round(quantile_cont(value, 0.95), 6) AS p95_s,
        round((SELECT avg(value) FROM events WHERE event_type = 'view') / avg(value), 6) AS speedup
-FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup', 'error') GROUP BY event_type""",
+FROM events GROUP BY event_type""",
     "name_collisions": f"""
 WITH {_FILES}
 SELECT repo_name, replace(full_path, '/', '-') AS file_name, count(*) AS n_files
@@ -289,6 +290,37 @@ FROM ranked r JOIN best b USING (vec_id)""",
 SELECT conv_id, turn,
        substr(text, coalesce(lag(length(text)) OVER (PARTITION BY conv_id ORDER BY turn), 0) + 1) AS delta
 FROM conversations""",
+    "metadata_prefix": """
+SELECT doc_id, 'source: ' || source || chr(10) || 'lang: ' || lang || chr(10) || text AS text FROM documents""",
+    "group_holdout": "SELECT doc_id, source, source IN ('src1', 'src7') AS is_test FROM documents",
+    "split_leakage": """
+WITH flagged AS (
+  SELECT text, row_number() OVER (ORDER BY md5('41|' || doc_id)) <= ceil(0.1 * count(*) OVER ()) AS is_test FROM documents
+),
+lines AS (SELECT is_test, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM flagged)
+SELECT line, count(*) FILTER (is_test) AS n_test, count(*) FILTER (NOT is_test) AS n_train
+FROM lines WHERE length(line) >= 40 GROUP BY line HAVING n_test > 0 AND n_train > 0""",
+    "fim_transform": """
+WITH picked AS (
+  SELECT doc_id, text, ('0x' || md5('41|fim|' || doc_id)[1:12])::BIGINT % 1000000 < 500000 AS is_fim,
+         ('0x' || md5('41|a|' || doc_id)[1:12])::BIGINT % (length(text) + 1) AS a,
+         ('0x' || md5('41|b|' || doc_id)[1:12])::BIGINT % (length(text) + 1) AS b
+  FROM documents
+)
+SELECT doc_id, is_fim, CASE WHEN is_fim
+  THEN '<fim_prefix>' || substr(text, 1, least(a, b)) || '<fim_suffix>' || substr(text, greatest(a, b) + 1)
+       || '<fim_middle>' || substr(text, least(a, b) + 1, greatest(a, b) - least(a, b))
+  ELSE text END AS text
+FROM picked""",
+    "mlm_mask": f"""
+WITH {_IDS},
+places AS (SELECT doc_id, unnest(ids) AS id, unnest(range(len(ids))) AS i FROM encoded),
+hidden AS (
+  SELECT doc_id, id, i, ('0x' || md5(md5('41|mlm|' || doc_id) || '|' || i)[1:8])::BIGINT < CAST(floor(0.15 * 4294967296) AS BIGINT) AS h FROM places
+)
+SELECT doc_id, string_agg(CASE WHEN h THEN -1 ELSE id END, ' ' ORDER BY i) AS input_ids,
+       string_agg(CASE WHEN h THEN id ELSE -100 END, ' ' ORDER BY i) AS labels
+FROM hidden GROUP BY doc_id""",
     "chunks_per_source": """
 SELECT source, count(*) AS n_docs,
        CAST(sum(CASE WHEN length(text) < 1024 THEN 1 ELSE (length(text) + 1023) // 1024 END) AS BIGINT) AS n_chunks

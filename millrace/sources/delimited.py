@@ -16,7 +16,7 @@ NA_WORDS = [
 TRUE_WORDS = ["True", "TRUE", "true"]
 FALSE_WORDS = ["False", "FALSE", "false"]
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
 
 _BAD = "_bad_line"
 
@@ -44,15 +44,17 @@ def scan_csv(
     raw = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(path)
 
     # The reader flags short and long lines alike; commas outside quotes tell them apart.
-    # A doubled quote inside a quoted field reads as two quoted pieces side by side.
-    fields = F.size(F.split(F.regexp_replace(F.col(_BAD), r'"[^"]*"', ""), ","))
-    too_long = F.col(_BAD).isNotNull() & (fields > len(names))
+    # A quote opens a quoted piece at the start of a field only; inside it a doubled quote is literal.
+    bare = F.regexp_replace(F.col(_BAD), r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
+    too_long = F.col(_BAD).isNotNull() & (F.size(F.split(bare, ",")) > len(names))
     if on_bad_lines == "error":
         too_long = F.when(too_long, F.raise_error(F.concat(F.lit("too many fields: "), F.col(_BAD)))).otherwise(False)
     # Always true: it makes every read use all columns, without which the reader cannot tell
     # that a line is long, and refuses a query on the flag alone.
     whole = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
-    good = raw.where(~too_long & whole)
+    # A line of blanks holds no row.
+    blank = F.coalesce(F.trim(F.col(_BAD) if len(names) > 1 else F.col(f"`{names[0]}`")) == "", F.lit(False))
+    good = raw.where(~too_long & whole & ~blank)
     rows = good.select(*[F.when(~F.col(f"`{c}`").isin(NA_WORDS), F.col(f"`{c}`")).alias(c) for c in names])
     return cast_columns(rows, infer_types(rows)) if infer else rows
 

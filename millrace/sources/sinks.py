@@ -10,16 +10,26 @@ from millrace.session import stage
 from millrace.sizing import lookup_join
 
 
+EMPTY, NULL = "__empty__", "__null__"
+
+
 def last_of_same_name(df: DataFrame, repo: str, name: str, order: str) -> DataFrame:
     """Of documents that share a file name in a repository keep the one last in ``order``.
 
-    Names are counted without their text, and only names used twice become a side table, one
-    row each. The text is shuffled only if that table does not fit a broadcast.
+    Ties in ``order`` go by a hash of the row; equal rows are kept once. Null names and repositories
+    count as equal. Names are counted without their text, and only names used twice become a
+    side table, one row each. The text is shuffled only if that table does not fit a broadcast.
     """
-    used = df.groupBy(repo, name).agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    keys = {"_repo": F.to_json(F.array(repo)), "_name": F.to_json(F.array(name))}  # null and empty differ
+    rank = F.struct(F.col(order).alias("o"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("h"))
+    named = df.withColumns(keys | {"_rank": rank})
+    used = named.groupBy("_repo", "_name").agg(F.max("_rank").alias("_last"), F.count(F.lit(1)).alias("_n"))
     clashes = stage(used.where("_n > 1").drop("_n"), "same-name")
-    kept = F.col("_last").isNull() | (F.col(order) == F.col("_last"))
-    return lookup_join(df, clashes, [repo, name], "left").where(kept).drop("_last")
+    joined = lookup_join(named, clashes, ["_repo", "_name"], "left")
+    single = joined.where(F.col("_last").isNull()).select(*df.columns)
+    if clashes.isEmpty():
+        return single
+    return single.unionByName(joined.where(F.col("_rank") == F.col("_last")).select(*df.columns).dropDuplicates())
 
 
 def write_table(df: DataFrame, out: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -28,6 +38,12 @@ def write_table(df: DataFrame, out: str, partition_by: list[str] | None = None)
     With ``partition_by`` rows are first rebalanced on those columns: small folders get one
     file each, and adaptive execution splits a folder that holds a large share of the rows.
     """
+    if partition_by and not df.where(F.exists(F.array(*partition_by), lambda c: F.coalesce(c.cast("string"), F.lit("")) == "")).isEmpty():
+        # A folder name can't tell a null or an empty value apart, so such values are spelt out.
+        folders = {c: F.coalesce(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) == "", EMPTY), F.lit(NULL)) for c in partition_by}
+        df.withColumns(folders).hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(out)
+        back = {c: F.when(F.col(c) == EMPTY, "").when(F.col(c) != NULL, F.col(c)) for c in partition_by}
+        return df.sparkSession.read.schema(df.schema).parquet(out).withColumns(back).select(*df.columns)
     if partition_by:
         df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(out)
     else:
@@ -52,5 +68,7 @@ def write_metadata(df: DataFrame, out: str, repo: str = "repo_name", path: str =
         P.sidecar_name(P.flatten_name(F.col(path))).alias("file_name"),
         F.col(url).alias("github_url"),
     )
-    records.hint("rebalance", repo).write.partitionBy(repo).mode("overwrite").json(out)
-    return df.sparkSession.read.schema(records.schema).json(out).select(*records.columns)
+    folder = F.coalesce(F.when(F.col(repo) != "", F.col(repo)), F.when(F.col(repo) == "", EMPTY), F.lit(NULL))
+    records.withColumn(repo, folder).hint("rebalance", repo).write.partitionBy(repo).mode("overwrite").json(out)
+    back = F.when(F.col(repo) == EMPTY, "").when(F.col(repo) != NULL, F.col(repo))
+    return df.sparkSession.read.schema(records.schema).json(out).withColumn(repo, back).select(*records.columns)

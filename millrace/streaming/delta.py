@@ -20,8 +20,8 @@ def stream_delta(messages: DataFrame, key: str, order: str, text: str = "text")
         seen = state.get[0] if state.exists else 0
         deltas = []
         for message in rows[text]:
-            deltas.append(message[seen:])
-            seen = len(message)
+            deltas.append(None if message is None else message[seen:])
+            seen = 0 if message is None else len(message)
         state.update((seen,))
         yield pd.DataFrame({key: rows[key], order: rows[order], "delta": deltas})
 
