@@ -149,6 +149,7 @@ def _search(asked, latent: np.ndarray, cosine: float, sure: float, likely: float
     queries = unit((latent[terms(words)] * mask[:, :, None]).sum(axis=1))
     held = np.zeros((len(ids), TERMS), np.uint8)
     np.put_along_axis(held, np.where(mask, terms(words), terms(words[:, :1])), 1, axis=1)
+    asked_terms = terms(words)
     need = np.ceil(likely * lengths - 1e-9).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,9 +167,16 @@ def _search(asked, latent: np.ndarray, cosine: float, sure: float, likely: float
                 two = blocks[row] > 1
                 vector = unit(sums[left] + np.where(two[:, None], sums[np.minimum(left + 1, len(sums) - 1)], 0))
                 p, q = np.nonzero(vector @ queries.T >= cosine)
+                own = np.zeros((len(sums), TERMS), np.uint8)  # the terms of each block
+                own[np.repeat(np.arange(len(sums)), np.diff(starts)), t] = 1
                 out = []
                 for at in range(0, len(p), 16_384):
                     x, y = p[at : at + 16_384], q[at : at + 16_384]
+                    # Item words that the passage holds, then passage words that the item holds: either bounds
+                    # the common subsequence.
+                    asks = asked_terms[y]
+                    some = ((own[left[x][:, None], asks] | own[(left[x] + two[x])[:, None], asks]) & mask[y]).sum(axis=1) >= need[y]
+                    x, y = x[some], y[some]
                     begin, end = starts[left[x]], starts[left[x] + 1 + two[x]]
                     place = begin[:, None] + np.arange(2 * BLOCK)
                     inside = place < end[:, None]
