@@ -42,8 +42,8 @@ BAND_RATIO = 1.4
 SPARE = 12
 SMALL_BUCKET = 64
 PIVOT_ROWS = 2_000
-TILE_SETS = 512
-TILE_MEMBERS = 500_000
+TILE_SETS = 1_536
+TILE_MEMBERS = 2_000_000
 SECOND = 0x5851F42D4C957F2D
 
 

@@ -5,15 +5,14 @@
 one, so a document is a row of *runs*, each some dozens of starts with one key. A run whose key
 occurs nowhere else holds no repeat. That leaves a fraction of the text; the rest never moves.
 
-**Shard BWTs and their merge.** The runs of a key, with the bytes they need, meet in one task. A
-shard is a bounded part of them. Its suffixes are read in symbols of ``STEP`` bytes; its
-Burrows-Wheeler transform lists, in suffix order, the symbol before each suffix. Shards are
-merged by refining an interleave: start with the shards one after the other; read each shard's
-transform in the interleave's order and sort the entries stably by symbol; that is the interleave
-by one symbol more. After ``LENGTH / STEP`` rounds it is right for ``LENGTH`` bytes. A block of
-suffixes that splits in a round has that common prefix; the blocks left are the repeated
-intervals. No suffix is compared or sorted again in the merge. Symbols are 64-bit hashes of their
-bytes (their order is any fixed one, blocks only need equality).
+**Shard BWTs and their merge.** The runs of a key, with the bytes they need, meet in one task as
+shards. Suffixes are read in symbols of ``STEP`` bytes; a shard's Burrows-Wheeler transform names the
+symbol before each suffix. The shards are merged by refining an interleave of their suffixes:
+sorted by one symbol at first, each round reads the transforms in the interleave's order and sorts
+the entries stably by symbol, which is the interleave by one symbol more. A block of suffixes
+that splits in a round has that common prefix; suffixes left alone are settled and drop out. After
+``LENGTH / STEP`` rounds the blocks are the repeated intervals. No two suffixes are ever compared.
+Symbols are 64-bit hashes of their bytes (their order is any fixed one, blocks only need equality).
 
 **Skew.** Equal runs are counted and sent once a slice of documents, and equal runs of a key collapse
 before a shard is built: copies cost nothing. Keys with more than ``HOT`` different runs (the edges
@@ -40,7 +39,6 @@ LENGTH = 200
 GRAM = 32
 STEP = 40
 LONGEST_RUN = 2_048
-SHARD_BYTES = 1 << 19
 FLUSH_BYTES = 1 << 21
 HOT = 4_096
 
@@ -204,76 +202,39 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 ROUNDS = LENGTH // STEP
 
 
-class Shard:
-    """Suffixes of some strings in order of their first ``LENGTH`` bytes, and their transform.
-
-    The suffixes of a string of ``m`` bytes begin at 0 to ``m``; the last ``STEP`` of them hold no symbol.
-    ``bwt`` is 0 where no symbol precedes.
-    """
-
-    def __init__(self, strings: list[bytes]):
-        sizes = np.array([len(s) for s in strings], np.int64)
-        base = np.concatenate([[0], np.cumsum(sizes + 1)])
-        data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-        string = np.repeat(np.arange(len(strings)), sizes + 1)
-        self.place = np.arange(len(data)) - base[string]
-        self.string, self.sizes = string, sizes
-        symbol = np.zeros(len(data), U)
-        h = hashes(data, STEP)
-        symbol[: len(h)] = h | U(1)
-        blank = self.place + STEP > sizes[string]
-        symbol[blank] = 0
-        self.symbol, self.blanks = symbol, np.flatnonzero(blank)
-        order = np.arange(len(data))
-        for _ in range(ROUNDS):
-            before = order[self.place[order] >= STEP] - STEP
-            order = np.concatenate([self.blanks, before[np.argsort(symbol[before], kind="stable")]])
-        self.order = order
-        led = self.place[order] >= STEP
-        self.bwt = np.where(led, symbol[np.where(led, order - STEP, 0)], U(0))
-
-
-def merged_blocks(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray]:
-    """``(interleave, block)``: the shard of each suffix in merged order, and blocks of equal first
-    ``LENGTH`` bytes (or of equal whole symbols, for shorter suffixes)."""
-    which = np.repeat(np.arange(len(shards)), [len(s.order) for s in shards])
-    block = np.zeros(len(which), np.int64)
-    blanks = np.repeat(np.arange(len(shards)), [len(s.blanks) for s in shards])
-    for _ in range(ROUNDS):
-        symbol = np.empty(len(which), U)
-        for k, s in enumerate(shards):
-            symbol[which == k] = s.bwt
-        led = np.flatnonzero(symbol)
-        sort = led[np.argsort(symbol[led], kind="stable")]
-        x, b = symbol[sort], block[sort]
-        new = np.ones(len(sort), bool)
-        new[1:] = (x[1:] != x[:-1]) | (b[1:] != b[:-1])
-        which = np.concatenate([blanks, which[sort]])
-        block = np.concatenate([np.zeros(len(blanks), np.int64), np.cumsum(new)])
-    return which, block
+def _repeated_in(order: np.ndarray, *parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(suffixes, block)``: the suffixes of an interleave that share all ``parts`` with a neighbour."""
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in parts])
+    alone = new & np.append(new[1:], True)
+    return order[~alone], (np.cumsum(new) - 1)[~alone]
 
 
 def repeated_starts(strings: list[bytes]) -> list[np.ndarray]:
-    """For each string, which of its starts open ``LENGTH`` bytes that open elsewhere in ``strings`` too."""
-    shards, part, size = [], [], 0
-    for s in strings:
-        part.append(s)
-        size += len(s)
-        if size >= SHARD_BYTES:
-            shards.append(Shard(part))
-            part, size = [], 0
-    if part:
-        shards.append(Shard(part))
-    which, block = merged_blocks(shards)
-    twice = np.bincount(block) > 1
-    twice[0] = False
-    out = []
-    for k, s in enumerate(shards):
-        hit = np.zeros(len(s.order), bool)
-        hit[s.order] = twice[block[which == k]]
-        ends = np.cumsum(s.sizes + 1)
-        out += [hit[e - m - 1 : e - m - 1 + max(m - LENGTH + 1, 0)] for e, m in zip(ends.tolist(), s.sizes.tolist())]
-    return out
+    """For each string, which of its starts open ``LENGTH`` bytes that open elsewhere in ``strings`` too.
+
+    Every string is a shard: its suffixes, at each of their places, and its transform, the symbol
+    before each of them. The interleave holds the suffixes of all shards, sorted by as many symbols as
+    rounds are done; a round reads the transforms in its order and sorts the entries stably.
+    A suffix alone in its block is settled and leaves, and so do those it precedes.
+    """
+    sizes = np.array([len(s) for s in strings], np.int64)
+    base = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    place = np.arange(len(data)) - np.repeat(base[:-1], sizes)
+    symbol = hashes(data, STEP)
+    order = np.flatnonzero(place + STEP <= np.repeat(sizes, sizes))
+    order = order[np.argsort(symbol[order])]
+    order, block = _repeated_in(order, symbol[order])
+    for _ in range(ROUNDS - 1):
+        led = place[order] >= STEP
+        before, block = order[led] - STEP, block[led]  # the transform, by place
+        sort = np.argsort(symbol[before], kind="stable")
+        before, block = before[sort], block[sort]
+        order, block = _repeated_in(before, symbol[before], block)
+    hit = np.zeros(len(data), bool)
+    hit[order] = True
+    return [hit[o : o + max(m - LENGTH + 1, 0)] for o, m in zip(base.tolist(), sizes.tolist())]
 
 
 COVERED = "key bigint, digest bigint, since array<int>, until array<int>"
@@ -400,7 +361,7 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     runs = dealt.mapInArrow(_repeated_runs, "_id bigint, _key bigint, at int, starts int")
     runs = scratch.stage(runs.distinct().groupBy("_id", "_key").agg(F.collect_list(F.struct("at", "starts")).alias("runs")))
 
-    contexts = scratch.stage(lookup_join(rows, runs, ["_id", "_key"]).select("_id", "_key", "text", "runs").mapInArrow(_context_rows, CONTEXTS))
+    contexts = scratch.stage(rows.join(runs.hint("merge"), ["_id", "_key"]).select("_id", "_key", "text", "runs").mapInArrow(_context_rows, CONTEXTS))
     bodies = contexts.where("times > 0").select("key", "digest", "times", "bytes")
     hot = scratch.stage(bodies.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"))
     if hot.isEmpty():
@@ -413,5 +374,5 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     places = contexts.select("key", "digest", "_id", "_key", "at").join(covered.hint("merge"), ["key", "digest"])
     places = scratch.stage(places.groupBy("_id", "_key").agg(F.collect_set(F.struct("at", "since", "until")).alias("covered")))
     scratch.close(places)
-    out = lookup_join(rows, places, ["_id", "_key"], "left").select("_id", "_key", "text", "covered").mapInArrow(_cleaned, RESULT)
+    out = rows.join(places.hint("merge"), ["_id", "_key"], "left").select("_id", "_key", "text", "covered").mapInArrow(_cleaned, RESULT)
     return out.select("_id", "_key", plain_id(id_col), "n_bytes", "n_removed", "n_spans", "kept", "since", "until")

@@ -54,8 +54,7 @@ def test_against_all_strings(spark, monkeypatch, seed, hot):
     assert got == [(i, *b) for i, b in enumerate(brute(texts))]
 
 
-def test_merge_of_shards_equals_counting(monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 1500)
+def test_merge_of_shards_equals_counting():
     texts = [t.encode() for t in corpus(3) if t and len(t.encode()) >= LENGTH]
     seen = Counter(t[i : i + LENGTH] for t in texts for i in range(len(t) - LENGTH + 1))
     for t, hit in zip(texts, repeated_starts(texts)):
