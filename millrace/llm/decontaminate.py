@@ -5,7 +5,10 @@
    comes the randomised (Nystrom) decomposition of the tf-idf matrix: its leading right singular
    vectors and values, of a fixed size.
 2. A second pass projects every passage (two neighbouring blocks) onto them, each direction scaled
-   to unit variance, and takes the benchmark passages with a cosine of ``cosine`` or more.
+   to unit variance, and takes the benchmark passages with a cosine of ``cosine`` or more. A cosine
+   cannot tell that a passage holds no copy, so those that hold enough of an item's rarest words are
+   taken too: a leak misses few of the item's words, so it holds some of any larger part of them.
+   This route takes every leak, whatever ``cosine`` is.
 3. For these, words that the two share bound their longest common subsequence; where the bound
    allows it, the subsequence itself is found with one 64-bit word a passage, all pairs at once.
    A passage leaks a benchmark item when the subsequence holds the share ``sure`` of the item's
@@ -37,6 +40,7 @@ BLOCK = 32
 CHUNK = 48
 ANSWER = 3
 ITEM_BYTES = 8 << 20
+HITS = 1 << 22  # counts of rare words held at a time
 NOT_WORDS = [b for b in range(128) if not chr(b).isalnum()]
 
 
@@ -142,7 +146,48 @@ def _padded(rows: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]
     return out, np.array([len(r) for r in rows], np.int64)
 
 
-def _search(asked, latent: np.ndarray, cosine: float, sure: float, likely: float) -> Callable:
+def rare_words(words: np.ndarray, lengths: np.ndarray, need: np.ndarray, idf: np.ndarray):
+    """``(sorted words, offsets, chunks, least)``: the chunks that have each word among their rarest.
+
+    ``need`` common words leave ``lengths - need`` of a chunk unmatched at most. Of that many places
+    and ``least`` more, the rarest of the chunk, a leak therefore holds ``least`` or more.
+    """
+    least = np.minimum(need, np.maximum(1, -(-lengths // 10)))
+    rarity = np.where(words != 0, idf[terms(words)], -1.0)
+    rank = np.argsort(np.argsort(-rarity, axis=1, kind="stable"), axis=1)
+    chunk, place = np.nonzero((rank < (lengths - need + least)[:, None]) & (words != 0))
+    some, at = np.unique(words[chunk, place], return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    return some, np.searchsorted(at[order], np.arange(len(some) + 1)), chunk[order], least
+
+
+def rare_hits(h: np.ndarray, starts: np.ndarray, left: np.ndarray, count: np.ndarray, rare) -> np.ndarray:
+    """``(passages, chunks)``: the ``count`` blocks from ``left`` on hold ``least`` or more rare words of the chunk.
+
+    A word that several blocks hold counts in each, so this is an upper bound too.
+    """
+    some, offs, chunks, least = rare
+    width, out = len(least), np.zeros((len(left), len(least)), bool)
+    step = max(1, HITS // width)
+    for a in range(0, len(left), step):
+        at, more = left[a : a + step], count[a : a + step]
+        lo, hi = at[0], at[-1] + more[-1]
+        words = h[starts[lo] : starts[hi]]
+        word = np.minimum(np.searchsorted(some, words), len(some) - 1)
+        block = np.repeat(np.arange(hi - lo), np.diff(starts[lo : hi + 1]))
+        held = some[word] == words
+        block, word = np.divmod(np.unique(block[held] * len(some) + word[held]), len(some))
+        times = offs[word + 1] - offs[word]
+        place = np.arange(times.sum()) + np.repeat(offs[word] - np.append(0, np.cumsum(times)[:-1]), times) if len(times) else times
+        hits = np.bincount(np.repeat(block, times) * width + chunks[place], minlength=(hi - lo) * width).astype(np.int32).reshape(-1, width)
+        total = hits[at - lo]
+        for d in range(1, int(count.max())):
+            total += np.where((more > d)[:, None], hits[np.minimum(at - lo + d, len(hits) - 1)], 0)
+        out[a : a + step] = total >= least
+    return out
+
+
+def _search(asked, latent: np.ndarray, idf: np.ndarray, cosine: float, sure: float, likely: float) -> Callable:
     ids, words, lengths, answers, answer_lengths = asked
     ids = np.asarray(ids, np.int64)
     mask = words != 0
@@ -150,7 +195,8 @@ def _search(asked, latent: np.ndarray, cosine: float, sure: float, likely: float
     held = np.zeros((len(ids), TERMS), np.uint8)
     np.put_along_axis(held, np.where(mask, terms(words), terms(words[:, :1])), 1, axis=1)
     asked_terms = terms(words)
-    need = np.ceil(likely * lengths - 1e-9).astype(np.int64)
+    need = np.ceil(min(likely, sure) * lengths - 1e-9).astype(np.int64)
+    rare = rare_words(words, lengths, need, idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +212,7 @@ def _search(asked, latent: np.ndarray, cosine: float, sure: float, likely: float
                 left = np.repeat(first[:-1], windows) + np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
                 two = blocks[row] > 1
                 vector = unit(sums[left] + np.where(two[:, None], sums[np.minimum(left + 1, len(sums) - 1)], 0))
-                p, q = np.nonzero(vector @ queries.T >= cosine)
+                p, q = np.nonzero((vector @ queries.T >= cosine) | rare_hits(h, starts, left, 1 + two, rare))
                 own = np.zeros((len(sums), TERMS), np.uint8)  # the terms of each block
                 own[np.repeat(np.arange(len(sums)), np.diff(starts)), t] = 1
                 out = []
@@ -209,14 +255,14 @@ def benchmark_leaks(
     answer = F.col(f"`{answer_col}`") if answer_col else F.lit(None)
     items = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("bigint"), F.lit(-1)).alias("i"), F.col(f"`{item_text_col}`").cast("string").alias("t"), answer.cast("string").alias("a"))
     parts = max(1, -(-byte_size(items) // ITEM_BYTES))
-    latent, _ = word_map(summed(rows.select("text"), sketch, TERMS * (RANK + EXTRA) + TERMS + 1))
+    latent, idf = word_map(summed(rows.select("text"), sketch, TERMS * (RANK + EXTRA) + TERMS + 1))
     found = None
     for k in range(parts):
         block = items.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == k) if parts > 1 else items
         asked = item_chunks([tuple(r) for r in block.collect()])  # at most about ITEM_BYTES
         if not asked[0]:
             continue
-        one = rows.mapInArrow(_search(asked, latent, cosine, sure, likely), "_id bigint, _key bigint, item_id bigint, lcs_share double, answer_found boolean")
+        one = rows.mapInArrow(_search(asked, latent, idf, cosine, sure, likely), "_id bigint, _key bigint, item_id bigint, lcs_share double, answer_found boolean")
         found = one if found is None else found.unionByName(one)
     if found is None:
         found = rows.limit(0).selectExpr("_id", "_key", "0L as item_id", "0D as lcs_share", "false as answer_found")

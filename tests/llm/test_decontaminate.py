@@ -67,3 +67,20 @@ def test_blocks_of_items_and_odd_tables(spark, monkeypatch):
     assert sorted(map(str, benchmark_leaks(docs, items).select("doc_id", "item_id").collect())) == whole and len(whole) == 2
     assert benchmark_leaks(docs, items.limit(0)).collect() == []
     assert benchmark_leaks(docs.limit(0), items).collect() == []
+
+
+def test_copies_that_the_cosine_prunes_are_found(spark):
+    rng = random.Random(8)
+    vocab = [a + b for a in ("ka", "lo", "mi", "nu", "re") for b in ("sta", "ber", "tin", "dor", "vel", "qua")]
+    other = [f"zx{i}" for i in range(400)]
+    items = [rng.choices(vocab, k=15) for _ in range(12)]
+    docs = []
+    for d in range(120):
+        words = rng.choices(other, k=64)
+        if d < 24:
+            words[40:55] = items[d % 12]
+        docs.append((d, " ".join(words), "x"))
+    docs, items = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(items)], ITEMS)
+    for cosine in (0.3, 2.0):  # none is as near as 2
+        found = {(r.doc_id, r.item_id) for r in benchmark_leaks(docs, items, cosine=cosine).collect()}
+        assert {(d, d % 12) for d in range(24)} <= found and {d for d, _ in found} == set(range(24))
