@@ -11,6 +11,8 @@
    This route takes every leak, whatever ``cosine`` is.
 3. For these, words that the two share bound their longest common subsequence; where the bound
    allows it, the subsequence itself is found with one 64-bit word a passage, all pairs at once.
+   It is judged in every run of ``PASSAGE`` words, at any offset, so it does not matter where in
+   the document a copy begins: three neighbouring blocks hold all the runs that begin in the first.
    A passage leaks a benchmark item when the subsequence holds the share ``sure`` of the item's
    words, or the share ``likely`` and the item's answer in order.
 
@@ -37,6 +39,7 @@ from millrace.sizing import byte_size
 TERMS = 1 << 12
 RANK, EXTRA = 64, 16
 BLOCK = 32
+PASSAGE, SPAN = 2 * BLOCK, 3  # words of a passage, blocks that hold one at any offset
 CHUNK = 48
 ANSWER = 3
 ITEM_BYTES = 8 << 20
@@ -107,16 +110,20 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def common_subsequence(passages: np.ndarray, items: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Lengths of the longest common subsequences of rows; passages have at most 64 words, zeros are none."""
-    bits = U(1) << np.arange(passages.shape[1]).astype(U)
-    state = np.full(len(passages), ~U(0))
+    """Lengths of the longest common subsequences of rows; 64 words of a passage share one state, zeros are none."""
+    parts = [passages[:, k : k + 64] for k in range(0, passages.shape[1], 64)]
+    bits = [U(1) << np.arange(p.shape[1]).astype(U) for p in parts]
+    state = [np.full(len(passages), ~U(0)) for _ in parts]
     for j in range(int(lengths.max(initial=0))):
         word = items[:, j : j + 1]
-        match = np.where((passages == word) & (word != 0), bits, U(0)).sum(axis=1, dtype=U)
-        hit = state & match
-        state = (state + hit) | (state & ~match)
-    zeros = ~state
-    return np.bitwise_count(zeros).astype(np.int64)
+        carry = U(0)
+        for k, p in enumerate(parts):
+            match = np.where((p == word) & (word != 0), bits[k], U(0)).sum(axis=1, dtype=U)
+            half = state[k] + (state[k] & match)
+            total = half + carry
+            carry = ((half < state[k]) | (total < half)).astype(U)
+            state[k] = total | (state[k] & ~match)
+    return sum(np.bitwise_count(~s).astype(np.int64) for s in state)
 
 
 def item_chunks(items: list[tuple[int, str, str | None]]):
@@ -210,31 +217,45 @@ def _search(asked, latent: np.ndarray, idf: np.ndarray, cosine: float, sure: flo
                 windows = np.where(blocks > 0, np.maximum(blocks - 1, 1), 0)
                 row = np.repeat(np.arange(hi - lo), windows)
                 left = np.repeat(first[:-1], windows) + np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-                two = blocks[row] > 1
-                vector = unit(sums[left] + np.where(two[:, None], sums[np.minimum(left + 1, len(sums) - 1)], 0))
-                p, q = np.nonzero((vector @ queries.T >= cosine) | rare_hits(h, starts, left, 1 + two, rare))
+                # Every passage of two blocks' words lies in three blocks, which begin where the latent passage does.
+                size = np.minimum(first[1:][row] - left, SPAN)
+                vector = unit(sums[left] + np.where((size > 1)[:, None], sums[np.minimum(left + 1, len(sums) - 1)], 0))
+                near = vector @ queries.T >= cosine
+                near[:-1] |= near[1:] & (row[:-1] == row[1:])[:, None]
+                p, q = np.nonzero(near | rare_hits(h, starts, left, size, rare))
                 own = np.zeros((len(sums), TERMS), np.uint8)  # the terms of each block
                 own[np.repeat(np.arange(len(sums)), np.diff(starts)), t] = 1
                 out = []
                 for at in range(0, len(p), 16_384):
                     x, y = p[at : at + 16_384], q[at : at + 16_384]
-                    # Item words that the passage holds, then passage words that the item holds: either bounds
+                    # Item words that the span holds, then words of a passage that the item holds: either bounds
                     # the common subsequence.
                     asks = asked_terms[y]
-                    some = ((own[left[x][:, None], asks] | own[(left[x] + two[x])[:, None], asks]) & mask[y]).sum(axis=1) >= need[y]
+                    held_here = own[left[x][:, None], asks]
+                    for d in range(1, SPAN):
+                        held_here |= own[(left[x] + np.minimum(d, size[x] - 1))[:, None], asks]
+                    some = (held_here & mask[y]).sum(axis=1) >= need[y]
                     x, y = x[some], y[some]
-                    begin, end = starts[left[x]], starts[left[x] + 1 + two[x]]
-                    place = begin[:, None] + np.arange(2 * BLOCK)
+                    begin, end = starts[left[x]], starts[left[x] + size[x]]
+                    place = begin[:, None] + np.arange(SPAN * BLOCK)
                     inside = place < end[:, None]
                     place = np.minimum(place, len(h) - 1)
-                    bound = (held[y[:, None], t[place]] * inside).sum(axis=1)
+                    upto = np.cumsum(held[y[:, None], t[place]] * inside, axis=1, dtype=np.int32)
+                    bound = np.maximum(upto[:, PASSAGE - 1], (upto[:, PASSAGE:] - upto[:, :-PASSAGE]).max(axis=1))
                     some = bound >= need[y]
                     x, y, place, inside = x[some], y[some], place[some], inside[some]
-                    passage = np.where(inside, h[place], U(0))
-                    share = common_subsequence(passage, words[y], lengths[y]) / lengths[y]
-                    found = common_subsequence(passage, answers[y], answer_lengths[y]) == answer_lengths[y]
-                    leak = (share >= sure) | (share >= likely) & found
-                    out += zip((row[x[leak]] + lo).tolist(), ids[y[leak]].tolist(), share[leak].tolist(), found[leak].tolist())
+                    span = np.where(inside, h[place], U(0))
+                    some = common_subsequence(span, words[y], lengths[y]) >= need[y]
+                    x, y, span, count = x[some], y[some], span[some], inside[some].sum(axis=1)
+                    for shift in range((SPAN * BLOCK - PASSAGE) + 1):
+                        full = np.flatnonzero((shift == 0) | (count >= shift + PASSAGE))
+                        if not len(full):
+                            break
+                        passage, ask = span[full, shift : shift + PASSAGE], y[full]
+                        share = common_subsequence(passage, words[ask], lengths[ask]) / lengths[ask]
+                        found = common_subsequence(passage, answers[ask], answer_lengths[ask]) == answer_lengths[ask]
+                        leak = (share >= sure) | (share >= likely) & found
+                        out += zip((row[x[full[leak]]] + lo).tolist(), ids[ask[leak]].tolist(), share[leak].tolist(), found[leak].tolist())
                 if out:
                     at, item, share, found = zip(*out)
                     pick = pa.array(at, pa.int64())

@@ -69,6 +69,25 @@ def test_blocks_of_items_and_odd_tables(spark, monkeypatch):
     assert benchmark_leaks(docs.limit(0), items).collect() == []
 
 
+def test_long_passages_carry_into_the_next_word():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(1, 6, (200, 96)).astype(U), rng.integers(1, 6, (200, 48)).astype(U)
+    got = common_subsequence(a, b, np.full(200, 48))
+    assert got.tolist() == [lcs(x.tolist(), y.tolist()) for x, y in zip(a, b)]
+
+
+def test_a_paraphrase_is_found_at_any_offset(spark):
+    rng = random.Random(12)
+    items = [[f"q{i}w{j}" for j in range(48)] for i in range(4)]
+    copies = [[f"other{j}" if j % 4 == 0 else w for j, w in enumerate(item)] for item in items]  # 36 of 48, the share 0.75
+    prose = lambda n: rng.choices([f"p{i}" for i in range(300)], k=n)
+    docs = [(40 * k + at, " ".join(prose(at) + copies[k] + prose(70)), "x") for k in range(4) for at in range(40)]
+    docs += [(500 + k, " ".join(copies[k][:30] + prose(30) + copies[k][30:]), "x") for k in range(4)]  # over more words than a passage
+    got = benchmark_leaks(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(items)], ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, d // 40) for d in range(160)}
+    assert {r.lcs_share for r in got} == {0.75}
+
+
 def test_copies_that_the_cosine_prunes_are_found(spark):
     rng = random.Random(8)
     vocab = [a + b for a in ("ka", "lo", "mi", "nu", "re") for b in ("sta", "ber", "tin", "dor", "vel", "qua")]
