@@ -5,9 +5,8 @@ bytes); a chunk ends where its leading bits are zero, no sooner than ``LEAST`` b
 than ``MOST``, and never inside a character. Insertions move the chunks after them only up to the next
 common cut. Chunks are compared by a 64-bit digest and their length, which stand for the bytes.
 
-Of equal chunks the first stays: smallest id, then row key, then place. Any other is removed if it
-lies in a run of removable chunks of ``shortest`` bytes or more, so that a short common phrase
-alone does no harm. One exchange by digest finds the removable chunks; in each slice of documents
+Of equal chunks the first stays: smallest id, then row key, then place. Any other is removed, however
+short. With ``shortest``, off by default, runs of removable chunks of fewer bytes stay too. One exchange by digest finds the removable chunks; in each slice of documents
 all but the first of equal chunks are known at once, so a chunk that a third of all documents
 holds sends one row a slice to its digest's task.
 
@@ -29,7 +28,7 @@ from millrace.sizing import lookup_join
 
 LEAST, MOST, BITS = 24, 512, 5
 WINDOW = 32
-SHORTEST = 100
+SHORTEST = 0
 
 
 def gear_table() -> np.ndarray:

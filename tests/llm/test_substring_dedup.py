@@ -74,3 +74,9 @@ def test_nulls_and_repeated_rows(spark):
     got = substring_deduped(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r.doc_id or 0, r.n_removed > 0) for r in got) == [(0, False), (3, True), (3, True), (3, True)]
     assert substring_deduped(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_short_copies_are_removed_unless_a_floor_is_given(spark):
+    docs = spark.createDataFrame([(1, "A short text.", None), (2, "A short text.", None), (3, "Another one.", None)], SCHEMA)
+    assert sorted((r.doc_id, r.n_removed, r.text) for r in substring_deduped(docs).collect()) == [(1, 0, "A short text."), (2, 13, ""), (3, 0, "Another one.")]
+    assert all(r.n_removed == 0 for r in substring_deduped(docs, shortest=100).collect())
