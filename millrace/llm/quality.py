@@ -120,7 +120,7 @@ def pooled(data: np.ndarray, offs: np.ndarray, vectors: np.ndarray) -> np.ndarra
     share = np.zeros((n, SHARES), np.float32)
     for j, k in enumerate((1, 2, 3, 4)):
         share[:, j] = np.bincount(row[kind == k], minlength=n) / div[:, 0]
-    share[:, 4] = np.bincount(row, length, n) / div[:, 0] / 10
+    share[:, 4] = np.log1p(np.bincount(row, length, n) / div[:, 0])  # float16 holds it however long a run is
     share[:, 5] = np.log1p(count) / 10
     pair = np.unique(row * BUCKETS + bucket)
     share[:, 6] = np.bincount(pair // BUCKETS, minlength=n) / div[:, 0]

@@ -59,3 +59,12 @@ def test_temperature_tames_overconfidence():
     p = Network(x[:600], y[:600]).score(x[600:])
     t = y[600:]
     assert -(t * np.log(p) + (1 - t) * np.log(1 - p)).mean() < 0.69
+
+
+def test_one_very_long_run_in_the_fit(spark):
+    rows = [(i, "the house and the tree." if i % 2 else "BUY!! now$$$ win%%%", "x") for i in range(60)] + [(1001, "a" * 700_000, "x")]
+    assert zlib.crc32(b"1001") % 5
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1001, 0)], LABELS)
+    got = quality_scores(spark.createDataFrame(rows, SCHEMA), labels).collect()
+    assert all(0 <= r.score <= 1 for r in got)
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id < 60)
