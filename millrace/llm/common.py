@@ -112,6 +112,8 @@ def local_roots(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
 SPACES = [0x20, *range(0x09, 0x0E)]
 SLICE_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
+# Sums of powers modulo 2**64 of longer runs may agree whatever the base; longer words are folded.
+_FOLD = 512
 U = np.uint64
 
 
@@ -171,7 +173,14 @@ def words_of(data: np.ndarray, offs: np.ndarray, spaces: list[int] = SPACES, low
     power, back = powers(n)
     total = np.zeros(n + 1, U)
     np.cumsum((data.astype(U) + U(1)) * power[:n], out=total[1:])
-    h = mix((total[end] - total[start]) * back[start] + (end - start).astype(U))
+    stop = np.minimum(end, start + _FOLD)
+    h = mix((total[stop] - total[start]) * back[start] + (end - start).astype(U))
+    at = np.flatnonzero(end - start > _FOLD)
+    while len(at):
+        begin = stop[at]
+        stop[at] = np.minimum(end[at], begin + _FOLD)
+        h[at] = mix(h[at] * U(_BASE) + mix((total[stop[at]] - total[begin]) * back[begin] + U(1)))
+        at = at[stop[at] < end[at]]
     return h, np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(start, offs))), start, end
 
 

@@ -12,6 +12,23 @@ _REACH = """
 reach AS (SELECT {id} AS x, {id} AS y FROM {table} UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
 lowest AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)"""
 
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, bit by bit; 3988292384 is the reversed polynomial."""
+    step = "xor(a >> 1, 3988292384 * (a & 1))"
+    byte = f"list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || {codes}, lambda c, b: {byte}), 4294967295)"
+
+
+def _coded(field: str) -> str:
+    return f"coalesce(strlen(CAST({field} AS VARCHAR)) || ':' || CAST({field} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_coded(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
 ORACLES: dict[str, str] = {
     "op2_jaccard_join": rf"""
 WITH RECURSIVE cut AS (
@@ -70,4 +87,79 @@ links AS (
 degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, component_id = e.vec_id AS kept
 FROM embeddings e JOIN lowest l ON l.x = e.vec_id LEFT JOIN degrees d ON d.x = e.vec_id""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("(CAST(n_chars AS HUGEINT) + 1)")} ELSE {_leaf("n_chars")} END AS claim
+  FROM documents
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+lower_nodes AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM lower_nodes WHERE n > 1 GROUP BY tree, lvl, pos // 2
+),
+subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM lower_nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 0 AS lvl, pos, subroot AS h, (SELECT count(*) FROM subroots) AS n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM upper_nodes WHERE n > 1 GROUP BY lvl, pos // 2
+),
+steps AS (
+  SELECT p.doc_id, p.tree, p.pos, k.lvl AS step, (p.pos >> k.lvl) % 2 AS side, s.h AS sibling
+  FROM placed p JOIN (SELECT DISTINCT tree, lvl FROM lower_nodes WHERE n > 1) k ON k.tree = p.tree
+  LEFT JOIN lower_nodes s ON s.tree = p.tree AND s.lvl = k.lvl AND s.pos = xor(p.pos >> k.lvl, 1)
+  UNION ALL
+  SELECT p.doc_id, p.tree, p.pos, 100 + k.lvl, (r.pos >> k.lvl) % 2, s.h
+  FROM placed p JOIN subroots r ON r.tree = p.tree, (SELECT DISTINCT lvl FROM upper_nodes WHERE n > 1) k
+  LEFT JOIN upper_nodes s ON s.lvl = k.lvl AND s.pos = xor(r.pos >> k.lvl, 1)
+),
+proofs AS (
+  SELECT tree, pos, string_agg(coalesce(sibling, ''), '' ORDER BY step) AS proof,
+         list({{'side': side, 'h': coalesce(sibling, '')}} ORDER BY step) AS walk
+  FROM steps GROUP BY tree, pos
+),
+fold AS (
+  SELECT p.*, subroot, (SELECT h FROM upper_nodes WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+         list_reduce([{{'side': CAST(0 AS BIGINT), 'h': claim}}] || coalesce(walk, []),
+                     lambda a, s: {{'side': s.side, 'h': sha256(CASE WHEN s.side = 1 THEN s.h || a.h ELSE a.h || s.h END)}}).h AS folded_root
+  FROM placed p JOIN subroots r USING (tree) LEFT JOIN proofs q ON q.tree = p.tree AND q.pos = p.pos
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM fold""",
+    "op13_prefix_trie": f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS pos
+  FROM conversations
+),
+convs AS (
+  SELECT conv_id AS c, conv_id - conv_id % 100 AS head, count(*) AS n, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h
+  FROM conversations GROUP BY conv_id
+),
+heads AS (SELECT c, h, n, (SELECT count(*) FROM turns WHERE conv_id = head AND pos < h) AS k FROM convs),
+whole AS (
+  SELECT c, pos AS p, role, text FROM convs JOIN turns ON conv_id = head AND pos < h
+  UNION ALL
+  SELECT c, pos - h + k, role, text FROM heads JOIN turns ON conv_id = c AND pos >= h
+),
+listed AS (SELECT c, list({{'role': role, 'text': text}} ORDER BY p) AS l FROM whole GROUP BY c),
+lists AS (SELECT c, coalesce(l, []) AS l FROM convs LEFT JOIN listed USING (c)),
+members AS (SELECT c, d, l[1:d] AS prefix, len(l) = d AS ending FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM lists)),
+nodes AS (
+  SELECT d, min(c) AS m, count(*) AS n, prefix, any_value(coalesce(length(prefix[-1].text), 0)) AS size,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ending), '')) AS ends_sha256
+  FROM members GROUP BY d, prefix
+),
+linked AS (SELECT x.*, y.m AS up FROM nodes x LEFT JOIN nodes y ON y.d = x.d - 1 AND y.prefix = x.prefix[1:x.d - 1]),
+counted AS (
+  SELECT d, m, n, size, up, ends_sha256, (SELECT count(*) FROM linked z WHERE z.d = x.d + 1 AND z.up = x.m) AS n_children FROM linked x
+),
+below AS (
+  SELECT y.d, y.m, sum(CAST(z.n_children = 0 AS INT)) AS n_leaves, sum((z.n - 1) * z.size) AS saved
+  FROM members a JOIN nodes y ON y.d = a.d AND y.prefix = a.prefix JOIN counted z ON z.m = a.c AND z.d >= y.d GROUP BY y.d, y.m
+)
+SELECT m AS conv_id, d AS depth, up AS parent_conv_id, n AS n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN below USING (d, m)""",
 }

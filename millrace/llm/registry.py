@@ -8,12 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import NULL_ID
 from millrace.llm.decontaminate import benchmark_leaks
 from millrace.llm.embedding_dedup import embedding_classes
 from millrace.llm.jaccard_join import jaccard_classes
+from millrace.llm.lattice_lm import lattice_scores
+from millrace.llm.merkle import folded, merkle_manifest, sibling_text
 from millrace.llm.oracles import ORACLES  # noqa: F401
 from millrace.llm.packing import length_batches
 from millrace.llm.pii import KINDS, pseudonymised
+from millrace.llm.prefix_trie import conversation_trie
 from millrace.llm.quality import quality_scores
 from millrace.llm.quotes import linked_messages
 from millrace.llm.substring_dedup import substring_deduped
@@ -21,6 +25,7 @@ from millrace.llm.suffix_dedup import repeats_removed
 from millrace.llm.token_counts import token_counts
 
 VOCABULARY = os.environ.get("MILLRACE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+PIECES = os.environ.get("MILLRACE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 PII_KEY = os.environ.get("MILLRACE_PII_KEY", "millrace-demonstration-key")
 
 
@@ -74,10 +79,36 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", *[count(k) for k in KINDS])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    # One more character, in a type that the largest long does not overflow.
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, more).otherwise(F.col("n_chars").cast("string"))
+    claims = [tampered if c == "n_chars" else F.col(c) for c in fields]
+    out = merkle_manifest(_table(spark, sf_dir, "documents"), fields, "lang", "doc_id", claims=claims)
+    out = out.withColumn("folded_root", folded(F.col("claim"), F.col("proof")))
+    proof = F.sha2(sibling_text(F.col("proof")), 256).alias("proof_sha256")
+    return out.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    out = lattice_scores(_table(spark, sf_dir, "documents"), PIECES, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The null id is the smallest long inside; it is a conversation of its own, with no head.
+    given = F.when(F.col("conv") != NULL_ID, F.col("conv"))
+    h = F.coalesce(F.crc32(given.cast("string")) % 6, F.lit(0))
+    return conversation_trie(_table(spark, sf_dir, "conversations"), given - given % 100, h, 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_jaccard_join, op3_suffix_dedup, op4_quality_classifier, op5_chat_formatting,
-        op6_embedding_dedup, op7_decontamination, op8_packing, op9_token_counts, op10_pii,
+        op6_embedding_dedup, op7_decontamination, op8_packing, op9_token_counts, op10_pii, op11_merkle_manifest, op12_lattice_scores,
+        op13_prefix_trie,
     )
 }
