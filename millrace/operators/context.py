@@ -1,62 +1,108 @@
 """Order-dependent work inside a key, safe for a key that holds a large share of the rows.
 
-Each key is cut into blocks by the value of its integer order column; windows run inside a
-block, and what a block needs from earlier ones is carried over from one summary row a block.
+A segmented scan: the order columns and one number a row are dealt by ranges of (key, order), so that a hot key
+covers many partitions, and each partition is scanned by itself. One summary row a partition comes to
+the driver, where what each partition takes over from those before it is combined; the
+results are joined back by (key, order). Texts take no part in it.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.arrays import last_n
+from millrace.session import stage
 
 BLOCK = 65_536
-_B = "_block"
-
-
-def _blocked(df: DataFrame, order: str, block: int) -> DataFrame:
-    if not isinstance(df.schema[order].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        raise TypeError(f"order column {order} must be an integer")
-    return df.withColumn(_B, F.floor(F.col(order) / block))
+_SHIFT = 33
 
 
 def _one_block(df: DataFrame, order: str, block: int) -> bool:
     """True when no key can hold more than ``block`` rows, as (key, order) is unique."""
+    if not isinstance(df.schema[order].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return False
     ends = df.agg(F.min(order).alias("a"), F.max(order).alias("b")).first()
     return ends["a"] is None or ends["b"] - ends["a"] < block
 
 
+def _placed(df: DataFrame, key: str, order: str, value: Column, block: int) -> DataFrame:
+    """``_k, _o, _v, _at, _part``: rows of partitions that hold about ``block`` consecutive rows each, staged."""
+    narrow = df.select(F.col(key).alias("_k"), F.col(order).alias("_o"), value.alias("_v"))
+    parts = max(1, math.ceil(narrow.count() / block))
+    ranged = narrow.repartitionByRange(parts, "_k", "_o").sortWithinPartitions("_k", "_o")
+    placed = stage(ranged.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    return placed.withColumn("_part", F.shiftright("_at", _SHIFT))
+
+
+def _ends(placed: DataFrame) -> DataFrame:
+    """``_part, _first, _last``: the keys a partition begins and ends with."""
+    ends = placed.groupBy("_part").agg(F.min("_at").alias("a"), F.max("_at").alias("b"))
+    at = F.broadcast(ends.withColumnRenamed("_part", "_p"))  # one row a partition
+    edge = placed.join(at, (F.col("_part") == F.col("_p")) & ((F.col("_at") == F.col("a")) | (F.col("_at") == F.col("b"))))
+    pick = lambda c, which: F.max(F.when(F.col("_at") == F.col(which), F.struct(c)))[c]
+    return edge.groupBy("_part").agg(pick("_k", "a").alias("_first"), pick("_k", "b").alias("_last"), pick("_v", "b").alias("_end"))
+
+
+def _once(order: Column, before: Column, result: Column) -> Column:
+    """``result``, or an error where two rows of a key have the same order."""
+    again = F.raise_error(F.lit("two rows of a key have the same order"))
+    return F.when(order.eqNullSafe(before), again).otherwise(result)
+
+
+def _joined_back(df: DataFrame, key: str, order: str, rows: DataFrame, name: str) -> DataFrame:
+    found = rows.select("_k", "_o", F.col("_r").alias("_result"))
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(order).eqNullSafe(F.col("_o"))
+    return df.join(found, same).select(*df.columns, F.col("_result").alias(name))
+
+
 def with_previous(df: DataFrame, key: str, order: str, value: Column, name: str, block: int = BLOCK) -> DataFrame:
     """Add the previous row's ``value`` within the key; null on its first row.
 
-    ``(key, order)`` must be unique and ``value`` not null.
+    ``(key, order)`` must be unique; beyond one block a repeated pair is an error. A null key is a key.
     """
     if _one_block(df, order, block):
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(order)))
-    blocked = _blocked(df, order, block)
-    inside = Window.partitionBy(key, _B).orderBy(order)
-    last = blocked.groupBy(key, _B).agg(F.max_by(value, F.col(order)).alias("_last"))
-    carry = last.select(key, _B, F.lag("_last").over(Window.partitionBy(key).orderBy(_B)).alias("_carry"))
-    # The join reuses the window's partitioning, so the rows themselves are shuffled once.
-    rows = blocked.withColumn(name, F.lag(value).over(inside))
-    joined = rows.join(carry.where(F.col("_carry").isNotNull()), [key, _B], "left")
-    return joined.select(*df.columns, F.coalesce(F.col(name), F.col("_carry")).alias(name))
+    placed = _placed(df, key, order, value, block)
+    ends = sorted(_ends(placed).collect())
+    carry = [(b["_part"], b["_first"], a["_end"]) for a, b in zip(ends, ends[1:], strict=False) if a["_last"] == b["_first"]]
+    kinds = {f.name: f.dataType for f in placed.schema.fields}
+    schema = T.StructType([T.StructField("_p", T.LongType()), T.StructField("_f", kinds["_k"]), T.StructField("_c", kinds["_v"])])
+    taken = F.broadcast(df.sparkSession.createDataFrame(carry, schema))  # one row a partition at most
+    rows = placed.join(taken, (F.col("_part") == F.col("_p")) & (F.col("_at") == F.shiftleft("_part", _SHIFT)), "left")
+    inside = Window.partitionBy("_part", "_k").orderBy("_at")
+    result = F.coalesce(F.lag("_v").over(inside), F.col("_c"))
+    rows = rows.select("_k", "_o", _once(F.col("_o"), F.lag("_o").over(inside), result).alias("_r"))
+    return _joined_back(df, key, order, rows, name)
 
 
 def with_running_sum(df: DataFrame, key: str, order: str, value: Column, name: str, block: int = BLOCK) -> DataFrame:
-    """Add the sum of ``value`` over the key's rows up to and including this one."""
+    """Add the sum of ``value`` over the key's rows up to and including this one; as ``with_previous``."""
     upto = lambda *parts: Window.partitionBy(*parts).rowsBetween(Window.unboundedPreceding, 0)
     if _one_block(df, order, block):
         return df.withColumn(name, F.sum(value).over(upto(key).orderBy(order)))
-    blocked = _blocked(df, order, block)
-    sums = blocked.groupBy(key, _B).agg(F.sum(value).alias("_sum"))
-    before = F.sum("_sum").over(Window.partitionBy(key).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1))
-    carry = sums.select(key, _B, before.alias("_carry")).where(F.col("_carry").isNotNull())
-    rows = blocked.withColumn(name, F.sum(value).over(upto(key, _B).orderBy(order)))
-    joined = rows.join(carry, [key, _B], "left")
-    return joined.select(*df.columns, (F.col(name) + F.coalesce(F.col("_carry"), F.lit(0))).alias(name))
+    placed = _placed(df, key, order, value, block)
+    ends = _ends(placed).drop("_end")
+    tails = placed.join(F.broadcast(ends), "_part").groupBy("_part", "_first", "_last").agg(F.sum(F.when(F.col("_k").eqNullSafe(F.col("_last")), F.col("_v"))).alias("_tail"))
+    carry, held, before = [], 0, None
+    for row in sorted(tails.collect(), key=lambda r: r["_part"]):
+        # What the partitions before hold of the key that this one begins with.
+        held = held if before is not None and before["_last"] == row["_first"] else 0
+        if held:
+            carry.append((row["_part"], row["_first"], held))
+        held, before = (row["_tail"] or 0) + (held if row["_first"] == row["_last"] else 0), row
+    kinds = {f.name: f.dataType for f in placed.schema.fields}
+    schema = T.StructType([T.StructField("_p", T.LongType()), T.StructField("_f", kinds["_k"]), T.StructField("_c", T.LongType())])
+    taken = F.broadcast(df.sparkSession.createDataFrame(carry, schema))
+    rows = placed.join(taken, (F.col("_part") == F.col("_p")) & F.col("_k").eqNullSafe(F.col("_f")), "left")
+    inside = upto("_part", "_k").orderBy("_at")
+    result = F.sum("_v").over(inside) + F.coalesce(F.col("_c"), F.lit(0))
+    lagged = F.lag("_o").over(Window.partitionBy("_part", "_k").orderBy("_at"))
+    rows = rows.select("_k", "_o", _once(F.col("_o"), lagged, result).alias("_r"))
+    return _joined_back(df, key, order, rows, name)
 
 
 def transcript_delta(df: DataFrame, key: str, order: str, text: str = "text", block: int = BLOCK) -> DataFrame:

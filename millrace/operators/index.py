@@ -38,6 +38,13 @@ def _numbered(df: DataFrame, order: Sequence[str], name: str, partitions: int |
     )
 
 
+def _numbered_ties(df: DataFrame, order: Sequence[str], name: str, partitions: int | None) -> DataFrame:
+    held = stage(df, "tied-rows")
+    hashed = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+    dealt = held.withColumn("_hash", hashed).withColumn("_row_id", F.monotonically_increasing_id())
+    return _numbered(dealt, [*order, "_hash", "_row_id"], name, partitions).drop("_hash", "_row_id")
+
+
 def with_row_index(
     df: DataFrame, order: Sequence[str], name: str = "row_index", partitions: int | None = None
 ) -> DataFrame:
@@ -46,13 +53,15 @@ def with_row_index(
     Only the order columns are sampled, sorted and staged; the other columns join the numbers
     once, on all order columns, so a key shared by many rows is still spread. ``df`` is read
     for the sample, the sort and the join: stage it first if it is costly to compute. Where the
-    order columns don't tell rows apart, the whole rows are sorted and staged instead.
+    order columns don't tell rows apart, the whole rows are staged, numbered and dealt by order,
+    a hash of the row and their place in the staged table, so rows of one order value, equal
+    ones too, are spread over many tasks; a task that is run again deals them the same way.
     """
     if set(order) == set(df.columns):
-        return _numbered(df, order, name, partitions)
+        return _numbered_ties(df, order, name, partitions)
     numbers = _numbered(df.select(*order), order, name, partitions)
     if not numbers.groupBy(*order).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
-        return _numbered(df, order, name, partitions)
+        return _numbered_ties(df, order, name, partitions)
     for i, c in enumerate(order):
         numbers = numbers.withColumnRenamed(c, f"_order{i}")
     same = [F.col(c).eqNullSafe(F.col(f"_order{i}")) for i, c in enumerate(order)]

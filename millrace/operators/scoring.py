@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 
 from millrace.functions import arrays as A
 
+#: Labels that a model held by every task may have.
+MODEL_LABELS = 100_000
+
+
 @dataclass(frozen=True)
 class LinearModel:
     """Scores are ``weights @ x + bias``, one for each label."""
@@ -37,9 +41,13 @@ def class_centroids(df: DataFrame, vector: str = "embedding", label: str = "labe
 def fit_centroid_model(df: DataFrame, vector: str = "embedding", label: str = "label") -> LinearModel:
     """Nearest-centroid classifier in linear form, from means computed on the cluster.
 
-    The model is what every scoring task holds: one row a label comes to the driver.
+    The model is what every scoring task holds, so it must be small: one row a label comes to the driver, in
+    one job, and more than ``MODEL_LABELS`` labels are an error rather than a driver out of memory.
     """
-    means = sorted((r[label], list(r["mean"])) for r in class_centroids(df, vector, label).toLocalIterator())
+    rows = class_centroids(df, vector, label).limit(MODEL_LABELS + 1).collect()
+    if len(rows) > MODEL_LABELS:
+        raise ValueError(f"over {MODEL_LABELS} labels are no linear model to hold in every task")
+    means = sorted((r[label], list(r["mean"])) for r in rows)
     if not means:
         raise ValueError("no labelled vectors to fit a model on")
     weights = np.array([m for _, m in means])
@@ -125,16 +133,19 @@ def timed_batch_score(df: DataFrame, model: LinearModel, backend: str, vector: s
     return df.mapInPandas(run, schema)
 
 
-def backend_timing(df: DataFrame, base: str, backend: str = "backend", elapsed: str = "elapsed_s") -> DataFrame:
+def backend_timing(df: DataFrame, base: str, backend: str = "backend", elapsed: str = "elapsed_s", accuracy: int = 100_000) -> DataFrame:
     """Time spent on each backend, its median and 95th percentile, and its speed relative to ``base``.
 
+    Percentiles come from a mergeable sketch of bounded size: each is a time that occurs, off by at most
+    ``n / accuracy`` ranks, and the exact one while a backend has fewer times than ``accuracy``.
+
     One aggregate with map-side combine gives a row a backend, whichever there are (null among
     them); the speed is null where ``base`` has no times.
     """
     e = F.col(elapsed)
     stats = df.groupBy(F.col(backend).alias("backend")).agg(
         F.count(e).alias("n"), F.sum(e).alias("total_s"), F.avg(e).alias("mean_s"), F.min(e).alias("min_s"), F.max(e).alias("max_s"),
-        F.percentile(e, 0.5).alias("p50_s"), F.percentile(e, 0.95).alias("p95_s"),
+        F.percentile_approx(e, 0.5, accuracy).alias("p50_s"), F.percentile_approx(e, 0.95, accuracy).alias("p95_s"),
     )
     # Few rows meet here, one a backend; the base is taken from the same pass as the rest.
     whole = stats.agg(F.max(F.when(F.col("backend") == base, F.col("mean_s"))).alias("_base"), F.collect_list(F.struct(*stats.columns)).alias("_rows"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from millrace.functions import arrays as A
 from millrace.functions import paths as P
 from millrace.functions import records as R
-from millrace.operators import card, chunk, context, dedup, index, scoring, split, tokens
+from millrace.operators import card, chunk, context, dedup, index, leakage, scoring, split, tokens
 from millrace.operators import perplexity as ppl
 from millrace.plans import flows
 from millrace.session import new_path, stage
@@ -462,6 +462,11 @@ def split_leakage(spark, folder):
     return split.split_leakage(*split.train_test_split(_read(spark, folder, "documents").select("doc_id", "text"), ["doc_id"], 0.1))
 
 
+@query
+def passage_leakage(spark, folder):
+    return leakage.passage_leakage(*split.train_test_split(_read(spark, folder, "documents").select("doc_id", "text"), ["doc_id"], 0.1))
+
+
 @query
 def fim_transform(spark, folder):
     return tokens.fim_transform(_read(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
@@ -521,8 +526,8 @@ def stream_stamp(spark, folder):
 
 @query
 def stream_delta(spark, folder):
-    turns = run.read_files(spark, folder, _read(spark, folder, "conversations"), "conversations.parquet")
-    return run.drain(delta.stream_delta(turns, "conv_id", "turn"), "deltas")
+    turns = run.read_files(spark, folder, _read(spark, folder, "conversations"), "conversations.parquet", files_per_trigger=1)
+    return delta.stream_delta(turns, "conv_id", "turn")
 
 
 # Flagship

@@ -200,7 +200,7 @@ FROM (SELECT regexp_extract_all(text, '[^ \\n\\t\\r]+') AS w FROM documents)""",
     "backend_timing": """
 SELECT event_type AS backend, count(value) AS n, min(value) AS min_s, max(value) AS max_s,
        round(sum(value), 6) AS total_s, round(avg(value), 6) AS mean_s,
-       round(quantile_cont(value, 0.5), 6) AS p50_s, round(quantile_cont(value, 0.95), 6) AS p95_s,
+       round(quantile_disc(value, 0.5), 6) AS p50_s, round(quantile_disc(value, 0.95), 6) AS p95_s,
        round((SELECT avg(value) FROM events WHERE event_type = 'view') / avg(value), 6) AS speedup
 FROM events GROUP BY event_type""",
     "name_collisions": f"""
@@ -300,6 +300,18 @@ WITH flagged AS (
 lines AS (SELECT is_test, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM flagged)
 SELECT line, count(*) FILTER (is_test) AS n_test, count(*) FILTER (NOT is_test) AS n_train
 FROM lines WHERE length(line) >= 40 GROUP BY line HAVING n_test > 0 AND n_train > 0""",
+    "passage_leakage": """
+WITH flagged AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \n\t\r]'), lambda w: w <> '') AS w,
+         row_number() OVER (ORDER BY md5('41|' || doc_id)) <= ceil(0.1 * count(*) OVER ()) AS is_test
+  FROM documents
+),
+runs AS (
+  SELECT doc_id, is_test, i, array_to_string(w[i + 1:i + 16], ' ') AS passage
+  FROM (SELECT doc_id, is_test, w, unnest(range(0, len(w) - 15)) AS i FROM flagged WHERE len(w) >= 16)
+)
+SELECT doc_id, count(*) AS n_passages, min(i) AS first_word
+FROM runs WHERE is_test AND passage IN (SELECT passage FROM runs WHERE NOT is_test) GROUP BY doc_id""",
     "fim_transform": """
 WITH picked AS (
   SELECT doc_id, text, ('0x' || md5('41|fim|' || doc_id)[1:12])::BIGINT % 1000000 < 500000 AS is_fim,

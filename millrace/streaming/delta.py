@@ -2,38 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from functools import reduce
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-def stream_delta(messages: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
-    """``key, order, delta`` for each message: what it adds after the length of the one before it.
+from millrace.operators.context import BLOCK, with_previous
+from millrace.session import new_path
+from millrace.sizing import lookup_join
 
-    The state is one length a key. Messages of a key must arrive in order across micro-batches;
-    inside a micro-batch they are sorted, so bound the micro-batch at the source.
+#: Micro-batches after which the lengths are written in full again.
+FULL_EVERY = 16
+
+
+def _lengths(spark: SparkSession, folder: str, batch: int, schema: T.StructType) -> DataFrame:
+    """The last length of each key before ``batch``: the last full table and what came after it."""
+    full = batch // FULL_EVERY * FULL_EVERY - 1
+    parts = [spark.read.schema(schema).parquet(f"{folder}/{n:09d}").withColumn("_batch", F.lit(n)) for n in range(max(full, 0), batch)]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("_key").agg(F.max_by("_length", "_batch").alias("_length"))
+
+
+def stream_delta(
+    messages: DataFrame, key: str, order: str, text: str = "text", out: str | None = None, block: int = BLOCK
+) -> DataFrame:
+    """``key, order, delta`` for each message of a stream: what it adds after the length of the one before it.
+
+    All available input is processed and the table of all deltas so far is returned; run again with the same
+    ``out``, it goes on after the input already done. Bound the micro-batch at the source. Messages of a key
+    must arrive in order across micro-batches; inside one they may come in any order, unique by ``(key, order)``.
+
+    A micro-batch is a batch job without Python: the previous length comes from ``with_previous``, so a key with a
+    third of the rows is spread, and for a key's first message from a table with one length a key that earlier
+    micro-batches wrote. Each writes its own folders, over what a failed attempt left, so a repeated
+    micro-batch changes nothing. A null text counts as empty for the message after it and has a null delta.
     """
+    spark = messages.sparkSession
+    out = out or new_path(spark, "deltas")
+    kinds = {f.name: f.dataType for f in messages.schema.fields}
+    known = T.StructType([T.StructField("_key", kinds[key]), T.StructField("_length", T.IntegerType())])
+    result = T.StructType([T.StructField(key, kinds[key]), T.StructField(order, kinds[order]), T.StructField("delta", T.StringType())])
+
+    def advance(batch: DataFrame, number: int) -> None:
+        size = F.coalesce(F.length(text), F.lit(0))
+        rows = with_previous(batch.select(key, order, text), key, order, size, "_seen", block)
+        if number:
+            # A null key is a key too.
+            held = lambda c: F.to_json(F.struct(F.col(c).alias("k"))).alias("_held")
+            before = _lengths(spark, f"{out}/lengths", number, known).select(held("_key"), "_length")
+            asked = rows.withColumn("_held", F.when(F.col("_seen").isNull(), held(key)))
+            rows = lookup_join(asked, before, "_held", "left").withColumn("_seen", F.coalesce("_seen", "_length"))
+        delta = F.col(text).substr(F.coalesce(F.col("_seen"), F.lit(0)) + 1, F.length(text)).alias("delta")
+        rows.select(key, order, delta).write.mode("overwrite").parquet(f"{out}/deltas/batch={number}")
+        last = batch.groupBy(F.col(key).alias("_key")).agg(F.max_by(size, F.col(order)).cast("int").alias("_length"))
+        if number % FULL_EVERY == FULL_EVERY - 1:
+            earlier = _lengths(spark, f"{out}/lengths", number, known).withColumn("_new", F.lit(0))
+            last = earlier.unionByName(last.withColumn("_new", F.lit(1))).groupBy("_key").agg(F.max_by("_length", "_new").alias("_length"))
+        last.write.mode("overwrite").parquet(f"{out}/lengths/{number:09d}")
 
-    def advance(group, batches, state):
-        import pandas as pd
-
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(order, ignore_index=True)
-        seen = state.get[0] if state.exists else 0
-        deltas = []
-        for message in rows[text]:
-            deltas.append(None if message is None else message[seen:])
-            seen = 0 if message is None else len(message)
-        state.update((seen,))
-        yield pd.DataFrame({key: rows[key], order: rows[order], "delta": deltas})
-
-    types = {f.name: f.dataType.simpleString() for f in messages.schema.fields}
-    return (
-        messages.select(key, order, text)
-        .groupBy(key)
-        .applyInPandasWithState(
-            advance,
-            f"{key} {types[key]}, {order} {types[order]}, delta string",
-            "seen int",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
+    query = messages.writeStream.foreachBatch(advance).option("checkpointLocation", f"{out}/progress").trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return spark.read.schema(result).option("pathGlobFilter", "*.parquet").parquet(f"{out}/deltas").select(key, order, "delta")

@@ -61,18 +61,51 @@ def test_growing_messages(spark):
     assert [r["delta"] for r in CX.transcript_delta(df, "k", "t").orderBy("t").collect()] == ["ab", "cd", "😀"]
 
 
-def test_order_must_be_an_integer(spark):
-    df = spark.createDataFrame([(1, 0.0, "a"), (1, 9.0, "b")], "k int, t double, text string")
-    with pytest.raises(TypeError):
-        CX.transcript_delta(df, "k", "t", block=2)
+def test_order_of_any_type(spark):
+    df = spark.createDataFrame([(1, 0.5, "a"), (1, 9.0, "bcd"), (1, 10.0, "bcdef"), (None, 1.0, "x")], "k int, t double, text string")
+    got = {(r["k"], r["t"]): r["delta"] for r in CX.transcript_delta(df, "k", "t", block=2).collect()}
+    assert got == {(1, 0.5): "a", (1, 9.0): "cd", (1, 10.0): "ef", (None, 1.0): "x"}
 
 
-def test_hot_key_is_split_over_groups(spark):
-    df = spark.range(20000).select(F.floor(F.col("id") / 10**6).alias("k"), F.col("id").alias("t"), F.lit("ab").alias("text"))
+def test_repeated_order_is_an_error(spark):
+    df = spark.createDataFrame([(1, 0, "a"), (1, 10**9, "b"), (1, 10**9, "c")], "k int, t bigint, text string")
+    with pytest.raises(Exception, match="same order"):
+        CX.transcript_delta(df, "k", "t", block=100).collect()
+
+
+def spread(spark):
+    """A third of the rows under one key, a million apart, in no order; the others under many keys."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(77)).otherwise(F.col("id") % 400)
+    df = spark.range(0, 30_000, 1, 6).select(hot.alias("k"), (F.pmod(F.col("id") * 7919, F.lit(30_000)) * 10**6).alias("t"), F.col("id").alias("v"))
+    return df.withColumn("text", F.expr("repeat('x', int(v % 13))"))
+
+
+def test_hot_key_with_gaps_is_spread(spark, monkeypatch):
+    df, seen = spread(spark), []
+    real = CX.stage
+    monkeypatch.setattr(CX, "stage", lambda frame, label: seen.append(real(frame, label)) or seen[-1])
+    rows = [tuple(r) for r in df.select("k", "t", "text").collect()]
+    want = {}
+    for key, turns in by_key(rows).items():
+        before = 0
+        for t, x in turns:
+            want[key, t] = x[before:]
+            before = len(x)
     out = CX.transcript_delta(df, "k", "t", block=1000)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(k#" in plan and "_block#" in plan
-    assert out.where("delta = ''").count() == 19999
+    assert {(r["k"], r["t"]): r["delta"] for r in out.collect()} == want
+    assert all("text" not in frame.columns for frame in seen)
+    sizes = [r["count"] for r in seen[0].groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 2 * 1000
+
+
+def test_running_sums_over_partitions(spark):
+    df = spread(spark).select("k", "t", F.when(F.col("v") % 5 > 0, F.col("v")).alias("v"))
+    want, total = {}, {}
+    for k, t, v in sorted(((r["k"], r["t"], r["v"]) for r in df.collect()), key=lambda r: r[:2]):
+        total[k] = total.get(k, 0) + (v or 0)
+        want[k, t] = total[k]
+    out = CX.with_running_sum(df, "k", "t", F.coalesce("v", F.lit(0)), "s", block=700)
+    assert {(r["k"], r["t"]): r["s"] for r in out.collect()} == want
 
 
 def test_empty(spark):

@@ -129,3 +129,14 @@ def test_row_index_orders_nulls_first_and_keeps_columns(spark):
     df = spark.createDataFrame([(None, 1, "x"), ("a", None, "y"), ("a", 0, "z"), (None, 0, None)], "k string, i int, v string")
     got = {r["v"]: r["row_index"] for r in index.with_row_index(df, ["k", "i"], partitions=3).collect()}
     assert got == {None: 0, "x": 1, "y": 2, "z": 3}
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_tied_rows_are_spread_over_tasks(spark, equal):
+    v = F.lit(1) if equal else F.col("id")
+    df = spark.range(0, 200_000, 1, 8).select(F.lit("k").alias("k"), v.alias("v"))
+    out = index.with_row_index(df, ["k"], partitions=8)
+    ends = out.agg(F.min("row_index"), F.max("row_index"), F.countDistinct("row_index"), F.countDistinct("v")).first()
+    assert tuple(ends) == (0, 199_999, 200_000, 1 if equal else 200_000)
+    sizes = [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)

@@ -1,0 +1,66 @@
+"""Passages that held-out documents share with training documents, against all runs of words."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import leakage
+
+LICENSE = " ".join(f"term{i}" for i in range(30))
+
+
+def brute(train, test, passage):
+    runs = lambda t: [tuple(w[i : i + passage]) for w in [(t or "").split()] for i in range(len(w) - passage + 1)]
+    known = {r for t in train for r in runs(t)}
+    out = []
+    for key, t in test:
+        at = [i for i, r in enumerate(runs(t)) if r in known]
+        if at:
+            out.append((key, len(at), at[0]))
+    return sorted(out, key=str)
+
+
+def texts(seed, n):
+    rng = random.Random(seed)
+    made = [" ".join(rng.choice(["a", "b", "c"]) if rng.random() < 0.9 else f"w{rng.randrange(9)}" for _ in range(rng.randrange(0, 60))) for _ in range(n)]
+    # Parts of the license, of 10 to 30 words, in every third text.
+    cut = lambda: " ".join(LICENSE.split()[rng.randrange(4) : rng.randrange(14, 31)])
+    return [f"{t} {cut()} {t}" if i % 3 == 0 else t for i, t in enumerate(made)]
+
+
+@pytest.mark.parametrize(("passage", "gram"), [(16, 8), (6, 3), (5, 5), (3, 1)])
+def test_against_all_runs(spark, passage, gram):
+    train, test = [*texts(1, 80), None, ""], [*enumerate(texts(2, 80)), (None, "a " * 40), (3, "a\n" * 40), (3, "b c"), (900, None)]
+    rows = leakage.passage_leakage(
+        spark.createDataFrame([(t,) for t in train], "text string"), spark.createDataFrame(test, "doc_id bigint, text string"), passage=passage, gram=gram
+    )
+    got = sorted((tuple(r) for r in rows.collect()), key=str)
+    assert got == brute(train, test, passage) and len(got) > 5
+
+
+def test_passages_wrapped_anew_are_found(spark):
+    words = [f"x{i}" for i in range(20)]
+    train = spark.createDataFrame([("start " + " ".join(words) + " end",)], "text string")
+    test = spark.createDataFrame([(1, "other\t" + "\n".join(words)), (2, " ".join(words[:15]))], "doc_id int, text string")
+    assert [tuple(r) for r in leakage.passage_leakage(train, test).collect()] == [(1, 5, 1)]
+
+
+def test_a_hot_license_is_one_row_before_the_join(spark, monkeypatch):
+    seen = {}
+    real = leakage.stage
+    monkeypatch.setattr(leakage, "stage", lambda frame, label: seen.setdefault(label, real(frame, label)))
+    body = F.concat(F.lit(LICENSE + " "), F.col("id").cast("string"))
+    train, test = spark.range(3000).select(body.alias("text")), spark.range(900).select(F.col("id").alias("doc_id"), body.alias("text"))
+    out = leakage.passage_leakage(train, test)
+    assert out.count() == 900
+    # All passages of the license, and one that ends in each number that both sides have.
+    assert seen["known-passages"].groupBy("mark", "hash").count().where("count > 1").isEmpty()
+    assert seen["shared-marks"].count() <= 23 + 1000
+
+
+def test_empty_sides(spark):
+    none = spark.createDataFrame([], "doc_id bigint, text string")
+    some = spark.createDataFrame([(1, LICENSE)], "doc_id bigint, text string")
+    assert leakage.passage_leakage(none, some).collect() == [] and leakage.passage_leakage(some, none).collect() == []
+    assert [tuple(r) for r in leakage.passage_leakage(some, some).collect()] == [(1, 15, 0)]

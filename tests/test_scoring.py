@@ -59,7 +59,7 @@ def test_timing(spark):
     df = spark.createDataFrame([("cpu", 4.0), ("cpu", 2.0), ("fast", 1.0), ("other", 9.0)], "backend string, elapsed_s double")
     got = sorted(tuple(r) for r in S.backend_timing(df, "cpu").collect())
     assert got == [
-        ("cpu", 2, 6.0, 3.0, 2.0, 4.0, 3.0, 3.9, 1.0), ("fast", 1, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 3.0), ("other", 1, 9.0, 9.0, 9.0, 9.0, 9.0, 9.0, 3.0 / 9.0),
+        ("cpu", 2, 6.0, 3.0, 2.0, 4.0, 2.0, 4.0, 1.0), ("fast", 1, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 3.0), ("other", 1, 9.0, 9.0, 9.0, 9.0, 9.0, 9.0, 3.0 / 9.0),
     ]
 
 
@@ -117,3 +117,20 @@ def test_elapsed(spark):
         R.render_ms(F.lit(0.25)), R.epoch_text(F.lit("1970-01-01 00:00:01.5").cast("timestamp")),
     ).first()
     assert tuple(row) == (86400499.999, 250.0, 500.0, "0.250 ms", "1.500000")
+
+
+def test_percentiles_are_within_the_stated_rank(spark):
+    n, accuracy = 200_000, 1_000
+    df = spark.range(0, n, 1, 8).select(F.lit("b").alias("backend"), (F.pmod(F.col("id") * 7919, F.lit(n)) / 1.0).alias("elapsed_s"))
+    row = S.backend_timing(df, "b", accuracy=accuracy).first()
+    assert abs(row["p50_s"] - 0.5 * n) <= n / accuracy + 1 and abs(row["p95_s"] - 0.95 * n) <= n / accuracy + 1
+    exact = S.backend_timing(df.where("elapsed_s < 1000"), "b").first()
+    assert (exact["p50_s"], exact["p95_s"]) == (499.0, 949.0)
+
+
+def test_too_many_labels_for_a_model_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(S, "MODEL_LABELS", 3)
+    df = spark.range(8).select((F.col("id") % 4).cast("int").alias("label"), F.array(F.lit(1.0)).alias("embedding"))
+    with pytest.raises(ValueError, match="labels"):
+        S.fit_centroid_model(df)
+    assert S.fit_centroid_model(df.where("label < 3")).labels == [0, 1, 2]
