@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import paths as P
 from millrace.operators.index import with_row_index
+from millrace.session import stage
+from millrace.sizing import lookup_join
 
 
 def files_per_repo(df: DataFrame, repo: str = "repo", file: str = "file") -> DataFrame:
@@ -46,11 +48,14 @@ def name_collisions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def collect_group_files(df: DataFrame, group: str, file: str, part_size: int = 1000) -> DataFrame:
     """The files of each group as sorted lists of at most ``part_size``.
 
-    Lists are cut where the global order of (group, file) passes a multiple of ``part_size``,
-    so a group of any size becomes many rows and no task holds more than a part.
+    A group's files are numbered from zero, so its parts depend on that group alone; numbers come from one range
+    partitioning of all files, less where the group starts. A group of any size becomes many
+    rows and no task holds more than a part of it. A null group is a group.
     """
-    indexed = with_row_index(df.select(group, file), [group, file], "_row")
-    parts = indexed.withColumn("part", F.floor(F.col("_row") / part_size))
+    known = F.to_json(F.struct(F.col(group).alias("g")))  # null and empty differ
+    indexed = with_row_index(df.select(group, file), [group, file], "_row").withColumn("_known", known)
+    starts = stage(indexed.groupBy("_known").agg(F.min("_row").alias("_start")), "group-starts")
+    parts = lookup_join(indexed, starts, "_known").withColumn("part", F.floor((F.col("_row") - F.col("_start")) / part_size))
     listed = parts.groupBy(group, "part").agg(F.array_sort(F.collect_list(file)).alias("files"))
     return listed.withColumn("n_files", F.size("files").cast("bigint"))
 

@@ -212,7 +212,7 @@ WITH {_MODEL}
 SELECT label, predicted, count(*) AS n FROM embeddings JOIN best USING (vec_id) GROUP BY ALL""",
     "collect_group_files": """
 WITH numbered AS (
-  SELECT source, file, (row_number() OVER (ORDER BY source, file) - 1) // 20 AS part
+  SELECT source, file, (row_number() OVER (PARTITION BY source ORDER BY file) - 1) // 20 AS part
   FROM (SELECT source, lang || '/' || doc_id || '.txt' AS file FROM documents)
 )
 SELECT source, part, string_agg(file, ',' ORDER BY file) AS files, count(*) AS n_files

@@ -2,15 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import paths as P
 from millrace.session import stage
 from millrace.sizing import lookup_join
 
+# A folder name can't hold an empty value, and one name of its own stands for null.
+MARK, NULL_FOLDER = "~", "__HIVE_DEFAULT_PARTITION__"
 
-EMPTY, NULL = "__empty__", "__null__"
+
+def _texts(df: DataFrame, columns: list[str]) -> list[str]:
+    return [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+
+
+def _to_folder(value: Column) -> Column:
+    """An injective name for a folder value: a mark goes before the empty value, the name for null and marked values."""
+    odd = (value == "") | (value == NULL_FOLDER) | value.startswith(MARK)
+    return F.when(odd, F.concat(F.lit(MARK), value)).otherwise(value)
+
+
+def _from_folder(value: Column) -> Column:
+    return F.when(value.startswith(MARK), F.substring(value, len(MARK) + 1, 2**31 - 1)).otherwise(value)
+
+
+def _marked(spark: SparkSession, out: str, partition_by: list[str], column: str) -> bool:
+    """Whether a folder of ``column`` has a mark: one look at folder names."""
+    upper = "".join(f"/{c}=*" for c in partition_by[: partition_by.index(column)])
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}{upper}/{column}={MARK}*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def _write_folders(df: DataFrame, out: str, partition_by: list[str], kind: str) -> DataFrame:
+    """Write ``df`` in folders and read it back; nulls, empty texts and other types come back as they went in."""
+    texts = _texts(df, partition_by)
+    coded = df.withColumns({c: _to_folder(F.col(c)) for c in texts}) if texts else df
+    coded.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").format(kind).save(out)
+    spark = df.sparkSession
+    back = spark.read.schema(df.schema).format(kind).load(out)
+    odd = [c for c in texts if _marked(spark, out, partition_by, c)]
+    return back.withColumns({c: _from_folder(F.col(c)) for c in odd}).select(*df.columns) if odd else back.select(*df.columns)
 
 
 def last_of_same_name(df: DataFrame, repo: str, name: str, order: str) -> DataFrame:
@@ -37,17 +71,11 @@ def write_table(df: DataFrame, out: str, partition_by: list[str] | None = None)
 
     With ``partition_by`` rows are first rebalanced on those columns: small folders get one
     file each, and adaptive execution splits a folder that holds a large share of the rows.
+    The input is read once, whatever values it has.
     """
-    if partition_by and not df.where(F.exists(F.array(*partition_by), lambda c: F.coalesce(c.cast("string"), F.lit("")) == "")).isEmpty():
-        # A folder name can't tell a null or an empty value apart, so such values are spelt out.
-        folders = {c: F.coalesce(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) == "", EMPTY), F.lit(NULL)) for c in partition_by}
-        df.withColumns(folders).hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(out)
-        back = {c: F.when(F.col(c) == EMPTY, "").when(F.col(c) != NULL, F.col(c)) for c in partition_by}
-        return df.sparkSession.read.schema(df.schema).parquet(out).withColumns(back).select(*df.columns)
     if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(out)
-    else:
-        df.write.mode("overwrite").parquet(out)
+        return _write_folders(df, out, partition_by, "parquet")
+    df.write.mode("overwrite").parquet(out)
     return df.sparkSession.read.schema(df.schema).parquet(out).select(*df.columns)
 
 
@@ -68,7 +96,4 @@ def write_metadata(df: DataFrame, out: str, repo: str = "repo_name", path: str =
         P.sidecar_name(P.flatten_name(F.col(path))).alias("file_name"),
         F.col(url).alias("github_url"),
     )
-    folder = F.coalesce(F.when(F.col(repo) != "", F.col(repo)), F.when(F.col(repo) == "", EMPTY), F.lit(NULL))
-    records.withColumn(repo, folder).hint("rebalance", repo).write.partitionBy(repo).mode("overwrite").json(out)
-    back = F.when(F.col(repo) == EMPTY, "").when(F.col(repo) != NULL, F.col(repo))
-    return df.sparkSession.read.schema(records.schema).json(out).withColumn(repo, back).select(*records.columns)
+    return _write_folders(records, out, [repo], "json")

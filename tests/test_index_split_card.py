@@ -54,6 +54,17 @@ def test_group_files_are_cut_into_parts(hot):
         assert listed == sorted(r["file"] for r in files.where(F.col("k") == k).collect())
 
 
+def test_parts_of_a_group_depend_on_it_alone(spark):
+    rows = [("hot" if i % 3 else None if i % 2 else "b", f"{i:04d}") for i in range(900)] + [("", "x"), ("dup", "y"), ("dup", "y"), ("dup", "z")]
+    shape = lambda df: {(r["k"], r["part"], tuple(r["files"])) for r in card.collect_group_files(df, "k", "f", 25).collect()}
+    df = spark.createDataFrame(rows, "k string, f string")
+    whole = shape(df)
+    assert ("dup", 0, ("y", "y", "z")) in whole and len([p for p in whole if p[0] == "hot"]) == 24
+    assert {p for p in whole if p[0] == "hot"} == shape(df.where("k = 'hot'"))
+    for k in ("hot", "b", None, ""):
+        assert sorted(p[1] for p in whole if p[0] == k) == list(range(len([p for p in whole if p[0] == k])))
+
+
 def test_counts(spark):
     df = spark.createDataFrame([("a", "x.py"), ("a", "y.py"), ("b", "z.md"), ("b", None), ("c", "noext")], "repo string, file string")
     assert {tuple(r) for r in card.files_per_repo(df).collect()} == {("a", 2), ("b", 1), ("c", 1)}

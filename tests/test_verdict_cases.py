@@ -101,3 +101,28 @@ def test_masks_and_cuts_keep_the_content(spark):
 def test_prefix_leaves_nulls_out(spark):
     df = spark.createDataFrame([("a", None, "t"), (None, None, "u"), ("b", "c", None)], "x string, y string, text string")
     assert [r["text"] for r in C.metadata_prefix(df, ["x", "y"]).collect()] == ["x: a\nt", "u", None]
+
+
+@pytest.mark.parametrize("values", [["__null__", "__empty__", None, "", "~", "~~x", "__HIVE_DEFAULT_PARTITION__", "a/b=c %", "plain"], ["plain", "x"]])
+def test_folder_values_come_back_as_they_went_in(spark, tmp_path, values):
+    rows = [(v, n, f"{n}") for n, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "repo_name string, n int, path string")
+    assert sorted(map(str, sinks.write_table(df, str(tmp_path / "t"), ["repo_name"]).collect())) == sorted(map(str, df.collect()))
+    two = df.withColumn("k", F.when(F.col("n") % 2 == 0, F.col("n"))).withColumn("day", F.expr("if(n = 1, null, date'2024-02-29')"))
+    back = sinks.write_table(two, str(tmp_path / "u"), ["k", "repo_name", "day"])
+    assert back.schema == two.schema and sorted(map(str, back.collect())) == sorted(map(str, two.collect()))
+    meta = sinks.write_metadata(df.withColumn("blob_url", F.lit("u")), str(tmp_path / "m")).collect()
+    assert sorted(str(r["repo_name"]) for r in meta) == sorted(str(v) for v in values)
+
+
+def test_a_partitioned_write_reads_its_input_once(spark, tmp_path):
+    spark.range(100).select(F.concat(F.lit("r"), F.col("id") % 3).alias("r"), "id").write.parquet(str(tmp_path / "in"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(len(b))
+            yield b
+
+    df = spark.read.parquet(str(tmp_path / "in")).mapInPandas(counted, "r string, id bigint")
+    assert sinks.write_table(df, str(tmp_path / "out"), ["r"]).count() == 100 and reads.value == 100
