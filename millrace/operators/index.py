@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from millrace.session import stage
 
 # A larger limit would pass too many rows through the one task that merges them.
 LIMIT_IN_ONE_TASK = 100_000
+# Rows of order columns looked at to find a bound for a limit.
+SAMPLE = 10_000
 _SHIFT = 33
 
 
@@ -74,12 +77,48 @@ def with_batch_id(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     return indexed.withColumn("batch_id", F.floor(F.col("_row") / size)).drop("_row")
 
 
+def _upto(order: Sequence[str], row: Row) -> Column:
+    """Rows that do not come after ``row``, nulls first."""
+    cond = F.lit(True)
+    for c in reversed(order):
+        at, value = F.col(f"`{c}`"), F.lit(row[c])
+        before = F.lit(False) if row[c] is None else at.isNull() | (at < value)
+        cond = before | (at.eqNullSafe(value) & cond)
+    return cond
+
+
+def narrowed(df: DataFrame, order: Sequence[str], n: int, sample: int = SAMPLE) -> DataFrame:
+    """``df`` without most of the rows that come after the first ``n`` in order; the first ``n`` are all kept.
+
+    Selection by sampled pivots: a pivot a little beyond the wanted rank is taken from ``sample`` rows (order columns
+    only), and the rows up to it are counted; if they are ``n`` at least, the rest can't matter. Each
+    round leaves a small share of what it looked at, so a few passes over the order columns
+    find a bound close to the rank, and no task gets ``n`` rows of every partition. Stage a costly ``df`` first.
+    """
+    keys, total, beyond = df.select(*order), df.count(), 3
+    while total > 4 * max(n, sample):
+        picked = keys.sample(min(1.0, sample / total), seed=total % 1009).orderBy(*order).limit(2 * sample).collect()
+        share = len(picked) * n / total
+        rank = math.ceil(share + beyond * math.sqrt(share + 1))
+        if rank >= len(picked):
+            break
+        bound = _upto(order, picked[rank])
+        left = keys.where(bound).count()
+        if left < n:
+            beyond *= 4
+            continue
+        if left > 0.9 * total:  # ties: no pivot parts them
+            break
+        keys, df, total = keys.where(bound), df.where(bound), left
+    return df
+
+
 def limit_rows(df: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
     """The first ``n`` rows in order; zero or null means all of them."""
     if not n:
         return df
     if n <= LIMIT_IN_ONE_TASK:
-        return df.orderBy(*order).limit(n)
+        return narrowed(df, order, n).orderBy(*order).limit(n)
     return with_row_index(df, order, "_row").where(F.col("_row") < n).drop("_row")
 
 

@@ -19,7 +19,7 @@ from millrace.functions.arrays import (
     mask_to,
     pad_to,
 )
-from millrace.operators.index import LIMIT_IN_ONE_TASK, with_batch_id, with_row_index
+from millrace.operators.index import LIMIT_IN_ONE_TASK, narrowed, with_batch_id, with_row_index
 from millrace.operators.split import seeded_hash
 from millrace.session import stage
 from millrace.sizing import BROADCAST_BYTES, fits_broadcast
@@ -53,13 +53,13 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text: str = "text") -> Da
 
     Ties go by the word itself. Ids below 3 are the padding, end and unknown markers.
     """
-    counts = word_counts(df, text)
+    counts = stage(word_counts(df, text).withColumn("_less", -F.col("n")), "word-counts")
     best = [F.desc("n"), F.asc("word")]
     if size <= LIMIT_IN_ONE_TASK:
         # At most ``size`` rows reach the window.
-        ranked = counts.orderBy(*best).limit(size).withColumn("_rank", F.row_number().over(Window.orderBy(*best)) - 1)
+        ranked = narrowed(counts, ["_less", "word"], size).orderBy(*best).limit(size).withColumn("_rank", F.row_number().over(Window.orderBy(*best)) - 1)
     else:
-        ordered = counts.select((-F.col("n")).alias("_less"), "word")
+        ordered = counts.select("_less", "word")
         indexed = with_row_index(ordered, ["_less", "word"], "_rank").where(F.col("_rank") < size)
         ranked = indexed.withColumn("n", -F.col("_less"))
     return stage(ranked.select("word", "n", (F.col("_rank") + FIRST_WORD_ID).cast("int").alias("id")), "vocab")

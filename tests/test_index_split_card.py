@@ -151,3 +151,37 @@ def test_tied_rows_are_spread_over_tasks(spark, equal):
     assert tuple(ends) == (0, 199_999, 200_000, 1 if equal else 200_000)
     sizes = [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+def test_limits_are_found_without_sorting_all_rows(spark):
+    hashed = F.pmod(F.xxhash64("id"), F.lit(5000))
+    df = spark.range(0, 60_000, 1, 8).select(F.when(hashed > 20, hashed).alias("a"), F.concat(F.lit("w"), F.col("id") % 977).alias("b"), "id")
+    order = ["a", "b", "id"]
+    want = [r["id"] for r in df.orderBy(*order).limit(700).collect()]
+    few = index.narrowed(df, order, 700, sample=500)
+    assert 700 <= few.count() < 4_000
+    assert [r["id"] for r in few.orderBy(*order).limit(700).collect()] == want
+    assert [r["id"] for r in index.limit_rows(df, order, 700).orderBy(*order).collect()] == want
+    tied = spark.range(60_000).select(F.lit(1).alias("k"))
+    assert index.narrowed(tied, ["k"], 5, sample=100).count() == 60_000
+
+
+def test_keep_first_aggregates_digests_and_sorts_no_text(spark):
+    text = F.when(F.col("id") % 3 == 0, F.lit("hot " * 50)).otherwise(F.concat(F.lit("t"), F.col("id") % 700))
+    df = spark.range(0, 9_000, 1, 6).select(text.alias("text"), F.when(F.col("id") % 10 > 0, F.lit("é")).alias("lang"), (8999 - F.col("id")).alias("doc_id"), "id")
+    out = dedup_keep_first(df, ["text", "lang"], ["doc_id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "ObjectHashAggregate" not in plan
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: r["doc_id"]):
+        want.setdefault((r["text"], r["lang"]), r)
+    assert sorted(out.collect()[0].asDict()) == sorted(df.columns)
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in want.values()} and out.count() == len(want)
+
+
+def test_keep_first_with_nulls_ties_and_repeats(spark):
+    rows = [("a", None, 5, "x"), ("a", None, None, "null first"), ("a", "", 1, "y"), (None, "a", 2, "z"), ("", "a", 2, "w"), ("1:", "a", 3, "p"), ("t", "t", 1, "r"), ("t", "t", 1, "r"), ("t", "t", 1, "s")]
+    df = spark.createDataFrame(rows, "k string, l string, o int, v string")
+    got = dedup_keep_first(df, ["k", "l"], ["o"]).collect()
+    assert sorted(r["v"] for r in got if r["k"] != "t") == ["null first", "p", "w", "y", "z"] and sum(r["k"] == "t" for r in got) == 1
+    assert dedup_keep_first(df.where("false"), ["k", "l"], ["o"]).count() == 0
