@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch, U, keyed, mix, per_row, plain_id, powers, text_slices
 from millrace.llm.sums import summed
+from millrace.operators.index import narrowed
 
 BUCKETS = 1 << 14
 DIMS = 64
@@ -222,7 +223,10 @@ def quality_scores(
     features = scratch.stage(rows.mapInArrow(_feature_rows(vectors), "_id bigint, _key bigint, features binary"))
     known = labels.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id"))).groupBy("_id").agg(F.max("y").alias("y"))
-    sample = features.join(known.hint("merge"), "_id").orderBy(F.xxhash64("_id"), "_id", "_key").limit(max_train).select("features", "y").toPandas()
+    # The bound is found first, so that no partition sends ``max_train`` rows of its own.
+    joined = scratch.stage(features.join(known.hint("merge"), "_id").withColumn("_h", F.xxhash64("_id")))
+    by_hash = ["_h", "_id", "_key"]
+    sample = narrowed(joined, by_hash, max_train).orderBy(*by_hash).limit(max_train).select("features", "y").toPandas()
     net = Network(_unpacked(sample["features"]), sample["y"].to_numpy().astype(float)) if len(sample) else Network(np.zeros((0, 1)), np.zeros(0))
 
     @F.pandas_udf("double")
