@@ -14,6 +14,8 @@ import pyarrow as pa
 
 #: Cells (words times places) worked on at a time.
 CELLS = 1 << 20
+#: Logarithms of masses down to minus this are plain floats with room to spare.
+SAFE_LOG = 500.0
 
 
 class Trie:
@@ -65,45 +67,58 @@ def _groups(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _arcs(trie: Trie, classes: np.ndarray, i: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(end, rows, pieces)`` of the arcs that start at place ``i``."""
-    rows, node = np.arange(len(classes)), np.zeros(len(classes), np.int64)
+    rows, node = np.arange(len(classes)), trie.step[classes[:, i]]
     for j in range(i, classes.shape[1]):
-        node = trie.step[node * trie.width + classes[rows, j]]
-        alive = node > 0
-        rows, node = rows[alive], node[alive]
+        if j > i:
+            node = trie.step[node * trie.width + classes[rows, j]]
+        alive = np.flatnonzero(node)
+        if len(alive) < len(node):
+            rows, node = rows[alive], node[alive]
         if not len(rows):
             return
         piece = trie.piece[node]
-        found = piece >= 0
-        if found.any():
+        found = np.flatnonzero(piece >= 0)
+        if len(found):
             yield j + 1, rows[found], piece[found]
 
 
-def _forward(trie: Trie, classes: np.ndarray, weight: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """Log mass of all ways from the start to each place, place by place; arcs go to ``keep`` if given."""
-    mass = np.full((classes.shape[1] + 1, len(classes)), -np.inf)
-    mass[0] = 0.0
+def _forward(trie: Trie, classes: np.ndarray, weights: np.ndarray, keep: list | None = None) -> np.ndarray:
+    """Log mass of all ways from the start to each place, place by place, ``(weights, places, words)``; arcs go to ``keep`` if given."""
+    mass = np.full((len(weights), classes.shape[1] + 1, len(classes)), -np.inf)
+    mass[:, 0] = 0.0
     for i in range(classes.shape[1]):
         for end, rows, piece in _arcs(trie, classes, i):
-            mass[end, rows] = np.logaddexp(mass[end, rows], mass[i, rows] + weight[piece])
+            for m, weight in zip(mass, weights, strict=True):
+                m[end, rows] = np.logaddexp(m[end, rows], m[i, rows] + weight[piece])
             if keep is not None:
                 keep.append((i, end, rows, piece))
     return mass
 
 
-def word_masses(trie: Trie, weight: np.ndarray, words: pa.Array) -> np.ndarray:
-    """Natural logarithm of the summed weight of all segmentations of each word."""
-    out = np.zeros(len(words))
+def word_masses(trie: Trie, weights: np.ndarray, words: pa.Array) -> np.ndarray:
+    """Natural logarithm of the summed weight of all segmentations of each word, ``(weights, words)``; one walk serves all weights."""
+    out = np.zeros((len(weights), len(words)))
     for rows, table in _groups(words):
-        out[rows] = _forward(trie, trie.of[table], weight)[-1]
+        out[:, rows] = _forward(trie, trie.of[table], weights)[:, -1]
     return out
 
 
 def expected_pieces(trie: Trie, weight: np.ndarray, words: pa.Array, counts: np.ndarray) -> np.ndarray:
-    """How often each piece is used, every segmentation counted by its share of the word's mass."""
+    """How often each piece is used, every segmentation counted by its share of the word's mass.
+
+    No place has less mass than the way over single bytes. Where that is far from the least number a float holds,
+    plain sums do; longer words are summed in logarithms.
+    """
     out = np.zeros(len(weight))
+    single = trie.piece[trie.step[1 : trie.width]]
+    least = weight[single[single >= 0]].min(initial=0.0)
+    plain = np.exp(weight)
     for rows, table in _groups(words):
+        if (single >= 0).all() and table.shape[1] * -least < SAFE_LOG:
+            _plain_expected(trie, plain, trie.of[table], counts[rows], out)
+            continue
         arcs: list = []
-        mass = _forward(trie, trie.of[table], weight, arcs)
+        mass = _forward(trie, trie.of[table], weight[None], arcs)[0]
         back = np.full(mass.shape, -np.inf)
         back[-1] = 0.0
         times = counts[rows]
@@ -112,3 +127,24 @@ def expected_pieces(trie: Trie, weight: np.ndarray, words: pa.Array, counts: np.
             back[i, at] = np.logaddexp(back[i, at], after)
             out += np.bincount(piece, times[at] * np.exp(mass[i, at] + after - mass[-1, at]), len(out))
     return out
+
+
+def _plain_expected(trie: Trie, weight: np.ndarray, classes: np.ndarray, times: np.ndarray, out: np.ndarray) -> None:
+    """Add the expected uses of pieces to ``out``, without logarithms."""
+    mass = np.zeros((classes.shape[1] + 1, len(classes)))
+    mass[0] = 1.0
+    arcs, pieces, uses = [], [], []
+    for i in range(classes.shape[1]):
+        for end, rows, piece in _arcs(trie, classes, i):
+            way = weight[piece]
+            mass[end, rows] += mass[i, rows] * way
+            arcs.append((i, end, rows, piece, way))
+    back = np.zeros(mass.shape)
+    back[-1] = times / mass[-1]
+    for i, end, rows, piece, way in reversed(arcs):
+        after = way * back[end, rows]
+        back[i, rows] += after
+        pieces.append(piece)
+        uses.append(mass[i, rows] * after)
+    if pieces:
+        out += np.bincount(np.concatenate(pieces), np.concatenate(uses), len(out))

@@ -169,7 +169,8 @@ def _scoring(pieces, weights, k: int, stats: Row) -> Callable:
             words = _marked(batch["word"])
             each = np.stack([batch[f"c{i}"].to_numpy(zero_copy_only=False) for i in range(k)])
             total = each.sum(axis=0)
-            out = [level(each[i], level(total, word_masses(trie, weight[i], words), *counts[k]), *counts[i]) for i in range(k)]
+            masses = word_masses(trie, weight, words)
+            out = [level(each[i], level(total, masses[i], *counts[k]), *counts[i]) for i in range(k)]
             yield pa.RecordBatch.from_arrays([batch["word"], pa.array(total), *[pa.array(p) for p in out]], ["word", "c", *[f"p{i}" for i in range(k)]])
 
     return run

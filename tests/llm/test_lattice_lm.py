@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import registry
+from millrace.llm import lattice, registry
 from millrace.llm.common import words_of
 from millrace.llm.lattice import Trie, expected_pieces, word_masses
 from millrace.llm.lattice_lm import lattice_scores
@@ -30,14 +30,16 @@ def cuts(word, pieces):
                 yield [p, *rest]
 
 
-def test_masses_and_expectations_against_all_segmentations():
+def test_masses_and_expectations_against_all_segmentations(monkeypatch):
     rng = random.Random(1)
-    pieces = sorted({b"a", b"b", b"c", b" ", b"ab", b" a", b"bc", b"abc", b"cab", b" ab", b"\xc3\xa9"})
+    pieces = sorted({b"a", b"b", b"c", b" ", b"ab", b" a", b"bc", b"abc", b"cab", b" ab", b"\xc3", b"\xa9", b"\xc3\xa9"})
     weight = np.log(np.array([rng.random() for _ in pieces]))
     trie = Trie(pieces)
     words = [b" " + bytes(rng.choice(b"abc") for _ in range(n)) for n in (0, 1, 2, 3, 5, 7, 7, 7)] + [b" \xc3\xa9a", b" " + b"ab" * 4]
     counts = np.array([rng.randrange(4) for _ in words], float)
-    got, used = word_masses(trie, weight, pa.array(words)), np.zeros(len(pieces))
+    got, used = word_masses(trie, np.stack([weight, weight - 1]), pa.array(words)), np.zeros(len(pieces))
+    assert (got[1] < got[0]).all()
+    got = got[0]
     for w, c, mass in zip(words, counts, got):
         ways = [(math.exp(sum(weight[pieces.index(p)] for p in way)), way) for way in cuts(w, pieces)]
         total = sum(x for x, _ in ways)
@@ -45,14 +47,16 @@ def test_masses_and_expectations_against_all_segmentations():
         for x, way in ways:
             for p in way:
                 used[pieces.index(p)] += c * x / total
-    assert expected_pieces(trie, weight, pa.array(words), counts) == pytest.approx(used)
+    for least in (0.0, 500.0):  # in logarithms and in plain sums
+        monkeypatch.setattr(lattice, "SAFE_LOG", least)
+        assert expected_pieces(trie, weight, pa.array(words), counts) == pytest.approx(used)
 
 
 def test_long_words_are_summed_whole():
     pieces = [b" ", b"a", b"aa"]
     weight = np.log([0.5, 0.3, 0.2])
     n = 5000
-    mass = word_masses(Trie(pieces), weight, pa.array([b" " + b"a" * n]))[0]
+    mass = word_masses(Trie(pieces), weight[None], pa.array([b" " + b"a" * n]))[0, 0]
     a, b = 0.0, math.log(0.3)
     for _ in range(n - 1):
         a, b = b, np.logaddexp(b + math.log(0.3), a + math.log(0.2))
