@@ -13,11 +13,13 @@ lost, and the band has spare points to make up for it. A linked pair can then be
 both sets have lost more than the spare; such *weak* sets index their empty segments too.
 
 Candidates meet in one exchange of ``(entry, set digest)``. Each set is verified against the least
-pivot of its entries, so a group of near copies costs one check a member. Entries whose members
-are in different components after that are resolved: large ones are split by a second, independent
-partition of the universe (linked sets meet there too, sets that only share a passage hardly
-ever); the members of entries with one pivot form a group, and a group is verified in tile products
-that return one row a linked set, never its pairs. Every check is exact on the shingle sets.
+pivot of its entries, so a group of near copies costs one check a member; then against the other
+pivots that are in another component. Entries of three sets or more whose members are in different
+components after that are resolved: the members of entries with one pivot form a group, those of
+large entries are split by a second, independent partition of the universe within the group (linked
+sets meet there too, sets that only share a passage hardly ever) and checked in the same way; what
+is left is verified in tile products that return one row a linked set, never its pairs. Every check
+is exact on the shingle sets.
 
 Results for odd cases: null or empty texts and texts without words have an empty set and link with
 nothing; fewer words than ``words`` make one shingle of the whole sequence; rows that repeat an id
@@ -313,12 +315,40 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int,
     return scratch.stage(rows.mapInArrow(_checked(words, num, den), "a bigint, b bigint"))
 
 
-def _apart(members: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(entry, digest, n, pivot)``: members of entries whose sets aren't all in one component."""
-    all_of = members.select("entry", F.col("b").alias("digest")).unionByName(members.select("entry", F.col("a").alias("digest"))).distinct()
-    named = all_of.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    mixed = named.groupBy("entry").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.min("digest").alias("pivot"))
-    return scratch.stage(named.select("entry", "digest").join(mixed.where("x <> y").select("entry", "n", "pivot").hint("merge"), "entry"))
+def _parted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs (a, b)`` whose sets are in different components; sets without a link are their own."""
+    for side in ("a", "b"):
+        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        pairs = lookup_join(pairs, named, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    return pairs.where("a_root <> b_root").select("a", "b")
+
+
+def _met(members: DataFrame, links: DataFrame, roots: DataFrame, checked: DataFrame | None, verify: Callable, scratch: Scratch):
+    """``(links, roots, open)`` after the members of every entry were checked against its pivots.
+
+    ``checked`` pairs are not checked again, nor are sets that are in one component by now. ``open
+    (pivot, digest)`` has the members of the entries that are still in several components, by the
+    least of them; an entry of two sets has no other pair.
+    """
+    pairs = scratch.stage(members.select("a", "b").distinct())
+    new = pairs.join(checked.hint("merge"), ["a", "b"], "left_anti") if checked is not None else pairs
+    rest = scratch.stage(_parted(new, roots))
+    if not rest.isEmpty():
+        more = verify(rest)
+        if not more.isEmpty():
+            links = scratch.stage(links.unionByName(more))
+            scratch.drop(roots)
+            roots = scratch.stage(components(links, scratch))
+    still = scratch.stage(_parted(pairs, roots))
+    mixed = lookup_join(members, still, ["a", "b"], "left_semi").select("entry").distinct()
+    mixed = scratch.stage(mixed)
+    held = lookup_join(members, mixed, "entry", "left_semi")
+    held = held.select("entry", F.col("a").alias("digest")).unionByName(held.select("entry", F.col("b").alias("digest"))).distinct()
+    held = scratch.stage(held)
+    of = held.groupBy("entry").agg(F.count("*").alias("n"), F.min("digest").alias("pivot")).where("n > 2").select("entry", "pivot")
+    left = scratch.stage(held.join(of.hint("merge"), "entry").select("pivot", "digest").distinct())
+    scratch.drop(pairs, rest, still, mixed, held)
+    return links, roots, left
 
 
 def shared_counts(row_x: np.ndarray, h_x: np.ndarray, n_x: int, row_y: np.ndarray, h_y: np.ndarray, n_y: int) -> np.ndarray:
@@ -399,31 +429,39 @@ def jaccard_classes(
     texts = scratch.stage(lookup_join(rows, chosen, ["_id", "_key"]).select("digest", "text"))
     if texts.count() != chosen.count():  # repeated rows
         texts = scratch.stage(texts.dropDuplicates(["digest"]))
-    sizes = one.select("digest", "size")
+    scratch.drop(chosen)
+    verify = functools.partial(_verify, texts=texts, words=words, num=num, den=den, scratch=scratch)
 
-    pairs = scratch.stage(members.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = _verify(pairs, texts, words, num, den, scratch)
+    first = scratch.stage(members.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = verify(first)
     roots = scratch.stage(components(links, scratch))
-    apart = _apart(members, roots, scratch)
-    if not apart.isEmpty():
-        groups = apart.where(F.col("n") <= SMALL_BUCKET).select("pivot", "digest")
-        large = apart.where(F.col("n") > SMALL_BUCKET)
-        if not large.isEmpty():
-            again = large.groupBy("digest").agg(F.collect_list("entry").alias("given")).join(texts, "digest")
-            refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND), MEMBERS), scratch)
-            groups = groups.unionByName(_apart(refined, roots, scratch).select("pivot", "digest"))
-        more = _within(scratch.stage(groups.distinct()), sizes, texts, words, num, den, scratch)
+    links, roots, left = _met(members, links, roots, first, verify, scratch)
+    scratch.drop(members)
+    many = scratch.stage(left.groupBy("pivot").agg(F.count("*").alias("n")).where(F.col("n") > SMALL_BUCKET).select("pivot"))
+    large, groups = lookup_join(left, many, "pivot", "left_semi"), [lookup_join(left, many, "pivot", "left_anti")]
+    if not many.isEmpty():
+        # Linked sets of an entry are in the group of its pivot, so the second partition is taken within each group.
+        again = large.groupBy("digest").agg(F.collect_list("pivot").alias("given")).join(texts, "digest")
+        refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND), MEMBERS), scratch)
+        links, roots, finer = _met(refined, links, roots, first, verify, scratch)
+        scratch.drop(refined)
+        groups.append(finer)
+    groups = scratch.stage(functools.reduce(DataFrame.unionByName, groups).distinct())
+    if not groups.isEmpty():
+        more = _within(groups, one.select("digest", "size"), texts, words, num, den, scratch)
         if not more.isEmpty():
             roots = scratch.stage(components(links.unionByName(more), scratch))
+    scratch.drop(texts, one, first)
 
     named = sets.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     full = scratch.stage(named)
-    lowest = full.where("size > 0").groupBy("root").agg(F.min(F.struct("_id", "_key")).alias("low"))
-    out = full.join(lowest.hint("merge"), "root", "left")
     own = F.struct("_id", "_key")
-    out = out.withColumn("low", F.when(F.col("size") > 0, F.col("low")).otherwise(own)).withColumn("kept", F.col("low") == own)
+    lowest = full.where("size > 0").groupBy("root").agg(F.min(own).alias("low"), F.count("*").alias("n")).where("n > 1")
+    lowest = scratch.stage(lowest.select("root", "low"))
+    out = lookup_join(full, lowest, "root", "left")
+    out = out.withColumn("low", F.coalesce(F.when(F.col("size") > 0, F.col("low")), own)).withColumn("kept", F.col("low") == own)
     out = out.withColumn("low", F.col("low._id"))
-    scratch.close(full)
+    scratch.close(full, lowest)
     return out.select(
         "_id", "_key", plain_id(), F.col("size").alias("n_shingles"),
         F.when(F.col("low") != NULL_ID, F.col("low")).alias("component_id"), "kept",

@@ -77,6 +77,19 @@ def test_template_group_is_split_and_exact(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 1, 85, 100)
 
 
+def test_groups_of_several_entry_sizes_are_whole(spark):
+    """Drifting copies and others that share a passage only: groups over and under the small size share pivots."""
+    rng = random.Random(11)
+    rows, chain = [], [f"c{i}" for i in range(100)]
+    for _ in range(220):
+        chain = changed(rng, chain, 1)
+        rows.append((len(rows), " ".join(chain), None))
+    for k in range(90):
+        rows.append((len(rows), " ".join([f"c{i}" for i in range(70)] + [f"z{k}_{i}" for i in range(rng.choice([10, 14, 30]))]), None))
+    got = jaccard_classes(spark.createDataFrame(rows, SCHEMA).repartition(4), 2, 85, 100)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 2, 85, 100)
+
+
 def test_empty_and_repeated_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert jaccard_classes(empty).collect() == []
