@@ -32,6 +32,10 @@ def plain_id(name: str = "doc_id") -> Column:
     return F.when(F.col("_id") != NULL_ID, F.col("_id")).alias(name)
 
 
+def _table_name(path: str) -> str:
+    return "staged_" + path.rsplit("-", 1)[1]
+
+
 class Scratch:
     """Tables staged in the shared folder, removed one by one with ``drop`` or all at ``close``.
 
@@ -48,9 +52,21 @@ class Scratch:
         self.paths[id(out)] = (out, path)
         return out
 
+    def stage_by(self, df: DataFrame, key: str) -> DataFrame:
+        """The same, dealt and sorted by ``key``: joins on it move only their other side."""
+        path = new_path(self.spark, self.label)
+        name, n = _table_name(path), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        files = df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("compression", "zstd")
+        files.option("path", path).format("parquet").saveAsTable(name)
+        out = self.spark.table(name)
+        self.paths[id(out)] = (out, path)
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(t))[1])
+            folder = self.paths.pop(id(t))[1]
+            self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(folder)}")  # those of stage_by have an entry in the catalog
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def close(self, *but: DataFrame) -> None:

@@ -303,9 +303,13 @@ def _checked(words: int, num: int, den: int) -> Callable:
     return run
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """The linked ones of distinct ``pairs (a, b)``. Each pivot's mates are dealt in shares of a
-    bounded size, every share with a copy of the pivot's text."""
+def _verify(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """The linked ones of distinct ``pairs (a, b)``; sizes too far apart rule a pair out. Each pivot's
+    mates are dealt in shares of a bounded size, every share with a copy of the pivot's text."""
+    for side in ("a", "b"):
+        pairs = lookup_join(pairs, sizes.select(F.col("digest").alias(side), F.col("size").alias(f"{side}_size")), side)
+    fit = den * F.least("a_size", "b_size") >= num * F.greatest("a_size", "b_size")
+    pairs = scratch.stage(pairs.where(fit).select("a", "b"))
     shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_ROWS).alias("shares"))
     heads = shares.withColumn("share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)))
     heads = heads.join(texts, heads["a"] == texts["digest"]).select("a", "share", F.lit(None).cast("bigint").alias("b"), "text")
@@ -426,11 +430,13 @@ def jaccard_classes(
     one = scratch.stage(one.join(nodes, "digest"))
     chosen = sets.select("_id", "_key", "digest").join(one.select("_id", "digest").hint("merge"), ["_id", "digest"])
     chosen = scratch.stage(chosen.groupBy("_id", "digest").agg(F.min("_key").alias("_key")))
-    texts = scratch.stage(lookup_join(rows, chosen, ["_id", "_key"]).select("digest", "text"))
+    texts = scratch.stage_by(lookup_join(rows, chosen, ["_id", "_key"]).select("digest", "text"), "digest")
     if texts.count() != chosen.count():  # repeated rows
-        texts = scratch.stage(texts.dropDuplicates(["digest"]))
+        repeated, texts = texts, scratch.stage_by(texts.dropDuplicates(["digest"]), "digest")
+        scratch.drop(repeated)
     scratch.drop(chosen)
-    verify = functools.partial(_verify, texts=texts, words=words, num=num, den=den, scratch=scratch)
+    sizes = one.select("digest", "size")
+    verify = functools.partial(_verify, texts=texts, sizes=sizes, words=words, num=num, den=den, scratch=scratch)
 
     first = scratch.stage(members.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     links = verify(first)
@@ -448,7 +454,7 @@ def jaccard_classes(
         groups.append(finer)
     groups = scratch.stage(functools.reduce(DataFrame.unionByName, groups).distinct())
     if not groups.isEmpty():
-        more = _within(groups, one.select("digest", "size"), texts, words, num, den, scratch)
+        more = _within(groups, sizes, texts, words, num, den, scratch)
         if not more.isEmpty():
             roots = scratch.stage(components(links.unionByName(more), scratch))
     scratch.drop(texts, one, first)
