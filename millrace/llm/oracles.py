@@ -163,3 +163,74 @@ SELECT m AS conv_id, d AS depth, up AS parent_conv_id, n AS n_convs, n_children,
        CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
 FROM counted JOIN below USING (d, m)""",
 }
+
+_FLAT = "lower(trim(regexp_replace({0}, '\\s+', ' ', 'g')))"
+
+_QUOTING = """
+said AS (SELECT conv_id, turn, replace(max(text), chr(10), chr(10) || '> ') AS near, replace(max(text), chr(10), chr(10) || '>> ') AS far
+         FROM conversations GROUP BY conv_id, turn),
+source AS (
+  SELECT c.conv_id, c.turn, c.role,
+         coalesce('>> ' || f.far || chr(10), '') || coalesce('> ' || n.near || chr(10), '') || c.text AS text
+  FROM conversations c
+  LEFT JOIN said n ON n.conv_id = c.conv_id AND n.turn = c.turn - 1 - (c.conv_id + c.turn) % 3
+  LEFT JOIN said f ON f.conv_id = c.conv_id AND f.turn = c.turn - 2 - c.conv_id % 3
+)"""
+
+
+def _linked(source: str) -> str:
+    """CTEs that end in ``linked``: every message of ``source`` without its quotes, with its originals and its thread."""
+    flat, line = _FLAT.format("part"), "string_split_regex(coalesce(text, ''), '\\r?\\n')"
+    marks, announces = "'^\\s*>[>\\s]*'", "'^\\s*(On .{1,200} wrote|Am .{1,200} schrieb.{0,100}|Le .{1,200} a écrit|El .{1,200} escribió)\\s*:\\s*$'"
+    return f"""{source},
+msgs AS (SELECT row_number() OVER () AS rid, conv_id, turn, role, {line} AS ls FROM source),
+lines AS (SELECT rid, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS no FROM msgs),
+marked AS (SELECT rid, no, length(regexp_replace(regexp_extract(line, {marks}), '[^>]', '', 'g')) AS lvl, regexp_replace(line, {marks}, '') AS body FROM lines),
+levels AS (
+  SELECT rid, no, body, CASE WHEN lvl = 0 AND lead(lvl, 1, 0) OVER (PARTITION BY rid ORDER BY no) > 0 AND regexp_matches(body, {announces}) THEN -1 ELSE lvl END AS lvl
+  FROM marked
+),
+edges AS (SELECT *, CAST(lvl IS DISTINCT FROM lag(lvl) OVER (PARTITION BY rid ORDER BY no) AS INT) AS new FROM levels),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY no) AS run FROM edges),
+passages AS (SELECT rid, run, any_value(lvl) AS lvl, string_agg(body, chr(10) ORDER BY no) AS passage FROM numbered WHERE lvl > 0 GROUP BY rid, run),
+own AS (SELECT rid, regexp_replace(string_agg(body, chr(10) ORDER BY no), '\\A\\s*\\n|\\s+\\z', '', 'g') AS text FROM levels WHERE lvl = 0 GROUP BY rid),
+cut AS (SELECT m.rid, conv_id, turn, role, coalesce(o.text, '') AS text FROM msgs m LEFT JOIN own o USING (rid)),
+pieces AS (SELECT conv_id, turn, unnest([text] || string_split(text, chr(10)) || string_split_regex(text, '\\n\\s*\\n')) AS part FROM cut),
+held AS (SELECT conv_id, {flat} AS k, min(turn) AS origin FROM pieces GROUP BY ALL HAVING k <> ''),
+parts AS (
+  SELECT rid, run, lvl, true AS entire, passage AS part FROM passages
+  UNION ALL SELECT rid, run, lvl, false, unnest(string_split(passage, chr(10))) FROM passages
+),
+asked AS (SELECT rid, run, lvl, {flat} AS k, bool_or(entire) AS entire FROM parts GROUP BY ALL HAVING k <> ''),
+met AS (
+  SELECT a.rid, lvl, origin, length(k) AS size, entire, bool_or(entire) OVER (PARTITION BY a.rid, run) AS whole
+  FROM asked a JOIN cut c USING (rid) JOIN held h USING (conv_id, k) WHERE origin < c.turn
+),
+found AS (SELECT rid, lvl, origin, max(size) AS size FROM met WHERE entire = whole GROUP BY rid, lvl, origin),
+replies AS (
+  SELECT rid, string_agg(lvl || ':' || origin, ',' ORDER BY lvl, origin) AS originals, first(origin ORDER BY lvl, size DESC, origin DESC) AS reply_to
+  FROM found GROUP BY rid
+),
+links AS (SELECT conv_id, turn, min(reply_to) AS up FROM cut JOIN replies USING (rid) GROUP BY conv_id, turn),
+chain AS (
+  SELECT rid, conv_id, reply_to AS reached FROM cut JOIN replies USING (rid)
+  UNION ALL SELECT rid, conv_id, up FROM chain JOIN links USING (conv_id) WHERE links.turn = chain.reached
+),
+counts AS (SELECT rid, count(*) AS n, max(lvl) AS deepest FROM passages GROUP BY rid),
+linked AS (
+  SELECT rid, conv_id, turn, role, text, CAST(coalesce(n, 0) AS INT) AS n_quotes, CAST(coalesce(deepest, 0) AS INT) AS deepest,
+         coalesce(originals, '') AS originals, reply_to, coalesce((SELECT min(reached) FROM chain WHERE chain.rid = cut.rid), turn) AS thread,
+         '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS formatted
+  FROM cut LEFT JOIN replies USING (rid) LEFT JOIN counts USING (rid)
+)"""
+
+
+_SHOWN = "SELECT conv_id, turn, role, text, n_quotes, deepest, originals, reply_to, thread, formatted FROM linked"
+
+ORACLES["op5_chat_formatting"] = f"WITH RECURSIVE {_linked('source AS (SELECT * FROM conversations)')} {_SHOWN}"
+ORACLES["quoted_links"] = f"WITH RECURSIVE {_linked(_QUOTING)} {_SHOWN}"
+ORACLES["quoted_threads"] = f"""
+WITH RECURSIVE {_linked(_QUOTING)},
+placed AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, thread ORDER BY turn) - 1) // 3 AS part FROM linked)
+SELECT conv_id, thread, part, CAST(count(*) AS INT) AS n_messages, string_agg(turn, ',' ORDER BY turn) AS turns, string_agg(formatted, '' ORDER BY turn) AS formatted
+FROM placed GROUP BY conv_id, thread, part"""

@@ -2,20 +2,23 @@
 
 A line that begins with ``>`` marks is quoted at the level of their number; a run of lines of one
 level is a passage. Passages and own words are normalised (lower case, white space to one blank,
-blanks at the ends off) and compared by hash: an own message is indexed whole, by paragraph and by
-line, a passage of level one asks whole and by line. The original of a hash is the *earliest*
-message of the conversation that holds it, one row a hash from an aggregate with map-side
-combine, so a much-quoted line never multiplies rows. A message replies to the original of its
-longest match (of equal ones the latest), which must be an earlier turn. Deeper levels are quotes
-of what the original quoted, and only counted.
+blanks at the ends off) and compared by hash, however short: an own message is indexed whole, by
+paragraph and by line. A passage of any level asks whole; one that is found nowhere whole is
+taken apart and asks line by line. The original of a hash is the *earliest* message of the
+conversation that holds it, one row a hash from an aggregate with map-side combine, so a much-quoted
+line never multiplies rows. An original must be an earlier turn than the message that quotes it.
+
+A message keeps all its originals with the levels at which it quotes them. It replies to the one of
+the lowest level; of several, to that of the longest match, then to the latest.
 
 A message that replies to none opens a thread; the others belong to the thread of the message they
-reply to, found by doubling steps along the reply links. Ordered by ``(conv_id, thread, turn)``,
-each thread is its opening message and the replies to it, originals before replies.
+reply to, found by doubling steps along the reply links. ``reply_threads`` builds the conversations:
+each thread in order of its turns, originals before replies, cut into parts of bounded size.
 
-Null texts are empty messages; null conversation ids are one conversation, null turns come first;
-both stay null in the result. Rows that repeat a turn are messages of their own; fully repeated
-rows count as one message and each returns the same.
+Null texts are empty messages and quote nothing, empty lines and passages of marks alone have no
+original; null conversation ids are one conversation, null turns come first; both stay null in the
+result. Rows that repeat a turn are messages of their own; fully repeated rows count as one message
+and each returns the same. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -24,11 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import NULL_ID, Scratch
+from millrace.llm.ranks import numbered
 
 # The marks before quoted lines, and lines that announce a quote.
 MARKS = r"^\s*>[>\s]*"
 ANNOUNCES = r"^\s*(On .{1,200} wrote|Am .{1,200} schrieb.{0,100}|Le .{1,200} a écrit|El .{1,200} escribió)\s*:\s*$"
-SHORTEST = 8
 
 
 def level_of(line: Column) -> Column:
@@ -63,21 +66,29 @@ def runs_of(lines: Column) -> Column:
     ))
 
 
-def _keys(text: Column, paragraphs: bool) -> Column:
-    """Distinct ``(hash, length)`` of a text whole, by line and by paragraph, normalised."""
-    parts = F.concat(F.array(text), F.split(text, r"\n"), *([F.split(text, r"\n\s*\n")] if paragraphs else []))
-    parts = F.filter(F.array_distinct(F.transform(parts, normalised)), lambda s: F.length(s) >= SHORTEST)
-    return F.transform(parts, lambda s: F.struct(F.xxhash64(s).alias("hash"), F.length(s).alias("size")))
+def _held(text: Column) -> Column:
+    """Distinct hashes of a text whole, by line and by paragraph, normalised."""
+    parts = F.transform(F.concat(F.array(text), F.split(text, r"\n"), F.split(text, r"\n\s*\n")), normalised)
+    return F.array_distinct(F.transform(F.filter(parts, lambda s: s != ""), lambda s: F.xxhash64(s)))
+
+
+def _asked(passage: Column) -> Column:
+    """``(hash, size, whole)`` of a passage whole and by line, normalised; equal lines are not told apart here."""
+    whole = normalised(passage)
+    lines = F.filter(F.array_remove(F.transform(F.split(passage, r"\n"), normalised), whole), lambda s: s != "")
+    key = lambda s, entire: F.struct(F.xxhash64(s).alias("hash"), F.length(s).alias("size"), F.lit(entire).alias("whole"))
+    return F.concat(F.filter(F.array(key(whole, True)), lambda k: k["size"] > 0), F.transform(lines, lambda s: key(s, False)))
 
 
 def linked_messages(
     messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
-    """``(conv_id, turn, role, text, n_quotes, deepest, reply_to, thread, formatted)``: one row a message.
+    """``(conv_id, turn, role, text, n_quotes, deepest, originals, reply_to, thread, formatted)``: one row a message.
 
     ``text`` is the message without quotes, ``formatted`` the same in chat markup, ``n_quotes`` the
-    number of quoted passages, ``deepest`` the deepest level, ``reply_to`` the turn quoted (null
-    if none is found), ``thread`` the turn that opens the thread.
+    number of quoted passages, ``deepest`` the deepest level, ``originals`` all ``(level, turn)`` that
+    are quoted, in this order, ``reply_to`` the turn replied to (null if none is found), ``thread`` the
+    turn that opens the thread.
     """
     scratch = Scratch(messages.sparkSession, "quotes")
     role, text = (F.col(f"`{c}`").cast("string") for c in (role_col, text_col))
@@ -89,24 +100,35 @@ def linked_messages(
     rows = scratch.stage(rows.select(
         "conv", "turn", "key", "role", F.regexp_replace(own, r"\A\s*\n|\s+\z", "").alias("text"), F.size(quotes).alias("n_quotes"),
         F.coalesce(F.array_max(F.transform(quotes, lambda r: r["level"])), F.lit(0)).alias("deepest"),
-        F.transform(F.filter(quotes, lambda r: r["level"] == 1), lambda r: r["body"]).alias("passages"),
+        quotes.alias("passages"),
     ))
 
-    asked = rows.where(F.size("passages") > 0).select("conv", "turn", "key", F.explode("passages").alias("passage"))
-    asked = asked.select("conv", "turn", "key", F.explode(_keys(F.col("passage"), False)).alias("k")).select("conv", "turn", "key", "k.hash", "k.size")
-    asked = scratch.stage(asked.distinct())
-    held = rows.select("conv", "turn", F.explode(_keys(F.col("text"), True)).alias("k"))
-    held = held.groupBy("conv", F.col("k.hash").alias("hash")).agg(F.min("turn").alias("origin"))
+    asked = rows.where(F.size("passages") > 0).distinct().select("conv", "turn", "key", F.posexplode("passages").alias("no", "passage"))
+    asked = asked.select("conv", "turn", "key", "no", "passage.level", F.inline(_asked(F.col("passage.body"))))
+    held = rows.select("conv", "turn", F.explode(_held(F.col("text"))).alias("hash"))
+    held = held.groupBy("conv", "hash").agg(F.min("turn").alias("origin"))
     met = asked.join(held.hint("merge"), ["conv", "hash"]).where("origin < turn")
-    best = F.max(F.struct("size", "origin"))["origin"]
-    replies = scratch.stage(met.groupBy("conv", "turn", "key").agg(best.alias("reply_to")))
+    # One exchange by message serves the three groupings; each holds the lines of one message at most.
+    hits = met.repartition("conv", "turn", "key").groupBy("conv", "turn", "key", "no", "level").agg(
+        F.max("whole").alias("entire"), F.collect_list(F.struct("whole", "origin", "size")).alias("hits")
+    )
+    found = hits.select("conv", "turn", "key", "level", F.inline(F.filter("hits", lambda h: h["whole"] == F.col("entire"))))
+    found = found.groupBy("conv", "turn", "key", "level", "origin").agg(F.max("size").alias("size"))
+    best = F.max(F.struct((-F.col("level")).alias("near"), "size", "origin"))["origin"]
+    each = F.array_sort(F.collect_list(F.struct("level", F.col("origin").alias("turn"))))
+    replies = scratch.stage(found.groupBy("conv", "turn", "key").agg(best.alias("reply_to"), each.alias("originals")))
 
     threads = _threads(replies, scratch)
-    out = rows.join(replies.hint("merge"), ["conv", "turn", "key"], "left").join(threads.hint("merge"), ["conv", "turn", "key"], "left")
+    out = rows.drop("passages").join(replies.hint("merge"), ["conv", "turn", "key"], "left").join(threads.hint("merge"), ["conv", "turn", "key"], "left")
     shown = lambda c: F.when(c != NULL_ID, c)
     return out.select(
         shown(F.col("conv")).alias(conv_col), shown(F.col("turn")).alias(turn_col), F.col("role").alias(role_col), F.col("text").alias(text_col),
-        "n_quotes", "deepest", shown(F.col("reply_to")).alias("reply_to"), shown(F.coalesce("thread", "turn")).alias("thread"),
+        "n_quotes", "deepest",
+        F.coalesce(
+            F.transform("originals", lambda o: F.struct(o["level"].alias("level"), shown(o["turn"]).alias("turn"))),
+            F.array().cast("array<struct<level:int,turn:bigint>>"),
+        ).alias("originals"),
+        shown(F.col("reply_to")).alias("reply_to"), shown(F.coalesce("thread", "turn")).alias("thread"),
         F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), "text", F.lit("\n<|end|>\n")).alias("formatted"),
     )
 
@@ -126,3 +148,34 @@ def _threads(replies: DataFrame, scratch: Scratch) -> DataFrame:
         links = after
     ends = links.select("conv", F.col("turn").alias("reply_to"), F.col("to").alias("end"))
     return replies.join(ends.hint("merge"), ["conv", "reply_to"], "left").select("conv", "turn", "key", F.coalesce("end", "reply_to").alias("thread"))
+
+
+def reply_threads(
+    linked: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", part_size: int = 1000
+) -> DataFrame:
+    """``(conv_id, thread, part, n_messages, messages, formatted)``: the conversations of ``linked_messages``.
+
+    ``messages`` holds ``(turn, role, text, reply_to)`` in reply order and ``formatted`` is their chat
+    markup. A thread of over ``part_size`` messages is cut into parts, numbered from zero, so a
+    huge thread is neither one row nor one task. Fully repeated rows are one message.
+    """
+    scratch = Scratch(linked.sparkSession, "threads")
+    name = F.to_json(F.struct(F.col(conv_col).alias("c"), F.col("thread").alias("t")))  # null fields are left out, so null differs
+    first = F.coalesce(F.col(turn_col), F.lit(NULL_ID))
+    rows = linked.select(
+        name.alias("_group"), first.alias("_turn"), F.xxhash64(role_col, text_col, "reply_to").alias("_key"),
+        F.col(conv_col).alias("_conv"), "thread", F.struct(
+            F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"), "reply_to", "formatted"
+        ).alias("message"),
+    )
+    rows = scratch.stage(rows.dropDuplicates(["_group", "_turn", "_key"]))
+    placed, _ = numbered(rows, "_group", ["_turn", "_key"], scratch, ["_conv", "thread", "message"])
+    parts = placed.groupBy("_group", F.expr(f"_pos div {int(part_size)}").alias("part")).agg(
+        F.first("_conv").alias(conv_col), F.first("thread").alias("thread"),
+        F.array_sort(F.collect_list(F.struct("_pos", "message"))).alias("placed"),
+    )
+    return parts.select(
+        conv_col, "thread", "part", F.size("placed").alias("n_messages"),
+        F.transform("placed", lambda p: p["message"].dropFields("formatted")).alias("messages"),
+        F.array_join(F.transform("placed", lambda p: p["message"]["formatted"]), "").alias("formatted"),
+    )

@@ -19,7 +19,7 @@ from millrace.llm.packing import length_batches
 from millrace.llm.pii import KINDS, pseudonymised
 from millrace.llm.prefix_trie import conversation_trie
 from millrace.llm.quality import quality_scores
-from millrace.llm.quotes import linked_messages
+from millrace.llm.quotes import linked_messages, reply_threads
 from millrace.llm.substring_dedup import substring_deduped
 from millrace.llm.suffix_dedup import repeats_removed
 from millrace.llm.token_counts import token_counts
@@ -52,8 +52,36 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def _links(linked: DataFrame) -> DataFrame:
+    """The originals as ``level:turn`` texts."""
+    one = lambda o: F.concat(o["level"].cast("string"), F.lit(":"), F.coalesce(o["turn"].cast("string"), F.lit("-")))
+    return linked.withColumn("originals", F.array_join(F.transform("originals", one), ","))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked_messages(_table(spark, sf_dir, "conversations"))
+    return _links(linked_messages(_table(spark, sf_dir, "conversations")))
+
+
+def _quoting(messages: DataFrame) -> DataFrame:
+    """The table of conversations, each turn led by quotes of up to two earlier ones, at the levels two and one."""
+    turn, near, far = F.col("turn"), F.col("turn") - 1 - F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3)), F.col("turn") - 2 - F.pmod(F.col("conv_id"), F.lit(3))
+    said = messages.groupBy("conv_id", "turn").agg(F.max("text").alias("said"))
+    quoted = lambda mark, c: F.coalesce(F.concat(F.lit(mark), F.replace(F.col(c), F.lit("\n"), F.lit("\n" + mark)), F.lit("\n")), F.lit(""))
+    rows = messages.select("conv_id", turn, "role", "text", near.alias("near"), far.alias("far"))
+    for c in ("near", "far"):
+        rows = rows.join(said.select("conv_id", F.col("turn").alias(c), F.col("said").alias(f"{c}_text")), ["conv_id", c], "left")
+    return rows.select("conv_id", "turn", "role", F.concat(quoted(">> ", "far_text"), quoted("> ", "near_text"), "text").alias("text"))
+
+
+def quoted_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _links(linked_messages(_quoting(_table(spark, sf_dir, "conversations"))))
+
+
+def quoted_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads of the same messages, in parts of three."""
+    out = reply_threads(linked_messages(_quoting(_table(spark, sf_dir, "conversations"))), part_size=3)
+    turns = F.array_join(F.transform("messages", lambda m: m["turn"].cast("string")), ",")
+    return out.select("conv_id", "thread", "part", "n_messages", turns.alias("turns"), "formatted")
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_substring_dedup, op2_jaccard_join, op3_suffix_dedup, op4_quality_classifier, op5_chat_formatting,
         op6_embedding_dedup, op7_decontamination, op8_packing, op9_token_counts, op10_pii, op11_merkle_manifest, op12_lattice_scores,
-        op13_prefix_trie,
+        op13_prefix_trie, quoted_links, quoted_threads,
     )
 }

@@ -18,10 +18,12 @@ def test_query_matches_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_query_runs_over_whole_tables(spark, name):
     rows = QUERIES[name](spark, FOLDER)
-    table = {"op5_chat_formatting": "conversations", "op6_embedding_dedup": "embeddings"}.get(name, "documents")
+    table = {"op5_chat_formatting": "conversations", "quoted_links": "conversations", "quoted_threads": "conversations", "op6_embedding_dedup": "embeddings"}.get(name, "documents")
     whole = spark.read.parquet(f"{FOLDER}/{table}.parquet")
     if name == "op13_prefix_trie":  # a row for each node, the root with all conversations
         whole = spark.read.parquet(f"{FOLDER}/conversations.parquet")
         assert rows.where("depth = 0").first()["n_convs"] == whole.select("conv_id").distinct().count()
+    elif name == "quoted_threads":  # a row for each part of a thread
+        assert rows.agg({"n_messages": "sum"}).first()[0] == whole.count()
     elif name != "op7_decontamination":
         assert rows.count() == whole.count()
