@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_SIZE = 1024
 SKIP_BY = 128
@@ -138,30 +142,64 @@ def map_batches(
     return (df.repartition(workers) if workers else df).mapInPandas(run, schema)
 
 
-def chunk_udtf(block_size: int, skip_by: int):
-    """A table function yielding ``(chunk_no, chunk)`` for each block of its text argument."""
-    from pyspark.sql.functions import udtf
+#: Text bytes that the table function reads, and block bytes that it returns, at a time.
+PIECE_BYTES = 4 << 20
+
+
+def _cut(texts: pa.Array, block_size: int, skip_by: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """``(row, number, block)`` of all blocks of ``texts`` without nulls, in pieces of bounded size."""
+    texts = texts.cast(pa.large_binary())
+    offs = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offs[0] : offs[-1]]
+    offs = offs - offs[0]
+    # Characters begin at the bytes that continue none.
+    begins = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    first = np.searchsorted(begins, offs)
+    chars = np.diff(first)
+    count = np.where(chars < block_size, 1, -(-chars // skip_by))
+    row = np.repeat(np.arange(len(chars)), count)
+    number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    start = first[row] + number * skip_by
+    since, until = begins[start], begins[np.minimum(start + block_size, first[row + 1])]
+    ends = np.cumsum(until - since)
+    lo = 0
+    while lo < len(row):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + PIECE_BYTES, side="right")))
+        bounds = np.append(0, ends[lo:hi] - done)
+        source = np.arange(bounds[-1]) + np.repeat(since[lo:hi] - bounds[:-1], np.diff(bounds))
+        buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data[source])]
+        yield row[lo:hi], number[lo:hi], pa.Array.from_buffers(pa.large_utf8(), hi - lo, buffers).cast(pa.string())
+        lo = hi
+
+
+def chunk_udtf(key: T.StructType, block_size: int, skip_by: int):
+    """An Arrow table function over a table of the columns of ``key`` and, last, a text.
+
+    It takes whole batches and returns the key with ``chunk_no, chunk``, without a step for each row.
+    """
+    from pyspark.sql.functions import arrow_udtf
 
     class Chunks:
-        def eval(self, body: str):
-            if body is None:
-                return
-            if len(body) < block_size:
-                yield 0, body
-                return
-            for no, start in enumerate(range(0, len(body), skip_by)):
-                yield no, body[start : start + block_size]
+        def eval(self, batch: pa.RecordBatch):
+            rows = batch.filter(batch.column(batch.num_columns - 1).is_valid())
+            texts = rows.column(rows.num_columns - 1)
+            total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            lo = 0
+            while lo < len(texts):
+                hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PIECE_BYTES, side="right")))
+                for row, number, block in _cut(texts.slice(lo, hi - lo), block_size, skip_by):
+                    keys = [rows.column(i).take(pa.array(row + lo)) for i in range(rows.num_columns - 1)]
+                    yield pa.Table.from_arrays([*keys, pa.array(number), block], names=[*rows.schema.names[:-1], "chunk_no", "chunk"])
+                lo = hi
 
-    return udtf(Chunks, returnType="chunk_no bigint, chunk string")
+    return arrow_udtf(Chunks, returnType=T.StructType([*key.fields, T.StructField("chunk_no", T.LongType()), T.StructField("chunk", T.StringType())]))
 
 
 def chunk_lateral(df: DataFrame, key: Sequence[str], text: str, block_size: int, skip_by: int) -> DataFrame:
-    """Chunks by lateral join of each row with ``chunk_udtf``."""
-    chunks = chunk_udtf(block_size, skip_by)
-    docs = df.alias("d")
-    return docs.lateralJoin(chunks(F.col(f"d.{text}").outer())).select(
-        *[F.col(f"d.{k}") for k in key], "chunk_no", "chunk"
-    )
+    """Chunks by ``chunk_udtf`` over the table of ``key`` and text; null texts have none, one partition stays one."""
+    rows = df.select(*key, F.col(text).cast("string").alias("_text"))
+    return chunk_udtf(rows.drop("_text").schema, block_size, skip_by)(rows.asTable())
 
 
 def append_eos(df: DataFrame, text: str = "text", eos: str = "</s>") -> DataFrame:

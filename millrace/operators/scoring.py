@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import arrays as A
+from millrace.session import stage
 
 #: Labels that a model held by every task may have.
 MODEL_LABELS = 100_000
@@ -101,6 +102,55 @@ def _label(model: LinearModel):
     return F.get(F.lit([int(v) for v in model.labels]), A.argmax(F.col("scores")))
 
 
+def best_labels(
+    df: DataFrame, centroids: DataFrame, vector: str = "embedding", label: str = "label", block_labels: int = 4096, slice_rows: int = 4096
+) -> DataFrame:
+    """Add ``predicted`` and ``best_score``, the best label of a model *table* of any number of labels.
+
+    ``centroids`` is ``label, mean`` as ``class_centroids`` gives it, one row a label; the scores are
+    those of ``batch_score``. The labels are dealt into blocks and the different vectors into slices;
+    a task multiplies one slice by one block and keeps the best label of each vector, and the best
+    over all blocks is a minimum with map-side combine. So no row of the model reaches the driver, no
+    task holds more than a block, and equal vectors are scored once however many they are.
+
+    Of equal scores the least label wins. Null vectors have null results, and an empty model is an
+    error, as are vectors of another length than the means.
+    """
+    x = F.col(vector).cast("array<double>")
+    model = stage(centroids.select(F.col(label).alias("_label"), F.col("mean").alias("_mean")), "model")
+    given = df.where(F.col(vector).isNotNull()).select(x.alias("_x")).distinct()
+    vectors = stage(given.select("_x", F.monotonically_increasing_id().alias("_vid")), "vectors")
+    blocks, slices = -(-model.count() // block_labels), max(1, -(-vectors.count() // slice_rows))
+    if not blocks:
+        raise ValueError("no labelled vectors to fit a model on")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = vectors.withColumn("_slice", F.pmod(F.xxhash64("_vid"), F.lit(slices)).cast("int")).withColumn("_block", every(blocks))
+    right = model.withColumn("_block", F.pmod(F.xxhash64("_label"), F.lit(blocks)).cast("int")).withColumn("_slice", every(slices))
+
+    def product(pairs, held):
+        import pandas as pd
+
+        if not len(pairs) or not len(held):
+            return pd.DataFrame({"_vid": [], "_loss": [], "_label": []})
+        held = held.sort_values("_label")
+        weights = np.stack(held["_mean"].to_numpy())
+        bias = -0.5 * (weights**2).sum(axis=1)
+        rows = pairs["_x"].to_numpy()
+        at, top = [], []
+        for lo in range(0, len(rows), 512):
+            scores = np.stack(rows[lo : lo + 512]) @ weights.T + bias
+            best = scores.argmax(axis=1)
+            at.append(best)
+            top.append(scores[np.arange(len(best)), best])
+        return pd.DataFrame({"_vid": pairs["_vid"].to_numpy(), "_loss": -np.concatenate(top), "_label": held["_label"].to_numpy()[np.concatenate(at)]})
+
+    kind = model.schema["_label"].dataType.simpleString()
+    local = left.groupBy("_slice", "_block").cogroup(right.groupBy("_slice", "_block")).applyInPandas(product, f"_vid bigint, _loss double, _label {kind}")
+    best = local.groupBy("_vid").agg(F.min(F.struct("_loss", "_label")).alias("_best"))
+    found = vectors.join(best, "_vid").select("_x", F.col("_best._label").alias("predicted"), (-F.col("_best._loss")).alias("best_score"))
+    return df.withColumn("_x", x).join(found.hint("merge"), "_x", "left").drop("_x")
+
+
 def timed_batch_score(df: DataFrame, model: LinearModel, backend: str, vector: str = "embedding") -> DataFrame:
     """Score with wall time around each model call: ``backend, scores, predicted, elapsed_s``.
 

@@ -488,6 +488,14 @@ def batch_score(spark, folder):
     return scored.select("vec_id", "predicted", _rounded("scores"))
 
 
+@query
+def best_labels(spark, folder):
+    # A model that grows with the table: one label for each four vectors.
+    vectors = _read(spark, folder, "embeddings").select("vec_id", "embedding", F.floor(F.col("vec_id") / 4).alias("label"))
+    scored = scoring.best_labels(vectors, scoring.class_centroids(vectors), block_labels=1024)
+    return scored.select("vec_id", "predicted", F.round("best_score", 6).alias("best_score"))
+
+
 @query
 def timed_batch_score(spark, folder):
     vectors = _read(spark, folder, "embeddings")

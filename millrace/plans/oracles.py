@@ -282,6 +282,16 @@ SELECT doc_id, array_to_string(ids, ' ') AS ids, array_to_string(ids, ' ') AS la
 WITH {_MODEL}
 SELECT r.vec_id, b.predicted, CAST(r.pos AS INTEGER) AS pos, round(r.score, 6) AS score
 FROM ranked r JOIN best b USING (vec_id)""",
+    "best_labels": """
+WITH cells AS (
+  SELECT vec_id // 4 AS class, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS dim FROM embeddings
+),
+means AS (SELECT class, dim, avg(x) AS c FROM cells GROUP BY ALL),
+model AS (SELECT class, list(c ORDER BY dim) AS c FROM means GROUP BY class),
+scores AS (
+  SELECT vec_id, class, list_dot_product(embedding::DOUBLE[], c) - 0.5 * list_dot_product(c, c) AS score FROM embeddings, model
+)
+SELECT vec_id, first(class ORDER BY score DESC, class) AS predicted, round(max(score), 6) AS best_score FROM scores GROUP BY vec_id""",
     "timed_batch_score": f"WITH {_MODEL} SELECT vec_id, 'worker' AS backend, predicted, true AS timed FROM best",
     "map_batches": _chunks(1024, 512),
     "chunk_udtf": _chunks(1024, 512),

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -82,3 +83,20 @@ def test_map_batches_may_change_row_count_and_partitions(spark):
 def test_append_eos(spark):
     df = spark.createDataFrame([("a",), ("",)], "text string")
     assert [r[0] for r in C.append_eos(df).collect()] == ["a</s>", "</s>"]
+
+
+def test_table_function_cuts_pieces_of_any_size(spark, monkeypatch):
+    texts = ["", "é" * 5, "a😀b" * 700, None, "ß" * 4, "x" * 3000]
+    keys = pa.array(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([keys, pa.array(texts)], ["k", "_text"])
+    want = [(k, n, c) for k, t in enumerate(texts) if t is not None for n, c in enumerate(expected(t, 5, 3))]
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(C, "PIECE_BYTES", size)
+        cut = []
+        for lo in range(len(texts)):  # slices have offsets of their own
+            got = [t for t in texts[lo:] if t is not None]
+            pieces = [zip(r.tolist(), n.tolist(), b.to_pylist()) for r, n, b in C._cut(pa.array(["pad", *got]).slice(1), 5, 3)]
+            cut.append([x for p in pieces for x in p])
+        assert cut[0] == [(i, n, c) for i, t in enumerate(t for t in texts if t is not None) for n, c in enumerate(expected(t, 5, 3))]
+    df = spark.createDataFrame(batch.to_pandas().astype({"k": "int64"}))
+    assert sorted(tuple(r) for r in C.chunk_lateral(df, ["k"], "_text", 5, 3).collect()) == sorted(want)

@@ -12,7 +12,7 @@ from millrace.sources import manifest, sinks
 FOLDER = "/root/testdata/sf0.001"
 # Python by nature, or one narrow Arrow step against a vocabulary measured to fit a broadcast.
 PYTHON = {
-    "batch_score", "timed_batch_score", "map_batches", "chunk_udtf", "confusion_matrix", "compare_backends", "scan_text_tree",
+    "batch_score", "best_labels", "timed_batch_score", "map_batches", "chunk_udtf", "confusion_matrix", "compare_backends", "scan_text_tree",
     "tokenize", "pad_truncate", "clm_examples", "decode_ids", "mlm_mask",
 }
 

@@ -134,3 +134,34 @@ def test_too_many_labels_for_a_model_are_an_error(spark, monkeypatch):
     with pytest.raises(ValueError, match="labels"):
         S.fit_centroid_model(df)
     assert S.fit_centroid_model(df.where("label < 3")).labels == [0, 1, 2]
+
+
+def test_best_labels_in_blocks_are_those_of_the_small_model(spark, vectors, model):
+    want = expected()
+    odd = vectors.unionByName(vectors).unionByName(spark.createDataFrame([(900, None, 10)], vectors.schema))
+    got = S.best_labels(odd, S.class_centroids(vectors), block_labels=1, slice_rows=7).collect()
+    assert len(got) == 121 and [(r["predicted"], r["best_score"]) for r in got if r["vec_id"] == 900] == [(None, None)]
+    for r in got:
+        if r["vec_id"] != 900:
+            assert r["predicted"] == want[r["vec_id"]].argmax() * 10 and r["best_score"] == pytest.approx(want[r["vec_id"]].max())
+
+
+def test_best_labels_takes_models_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(S, "MODEL_LABELS", 3)
+    on_circle = lambda angle: F.array(F.cos(angle), F.sin(angle))
+    n = 20_000
+    centroids = spark.range(n).select(F.concat(F.lit("l"), "id").alias("label"), on_circle(F.col("id") * (2 * np.pi / n)).alias("mean"))
+    df = spark.range(0, n, 97).select("id", on_circle((F.col("id") + 0.2) * (2 * np.pi / n)).alias("embedding"))
+    rows = S.best_labels(df, centroids, block_labels=1500).collect()
+    assert len(rows) == len(range(0, n, 97)) and all(r["predicted"] == f"l{r['id']}" for r in rows)
+
+
+def test_best_labels_ties_and_empty_tables(spark):
+    df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(300)], "k int, embedding array<double>")
+    centroids = spark.createDataFrame([(7, [1.0, 1.0]), (3, [1.0, 1.0]), (9, [1.0, -1.0]), (1, [0.0, 5.0])], "label int, mean array<double>")
+    for block in (1, 2, 10):
+        rows = S.best_labels(df, centroids, block_labels=block, slice_rows=20).collect()
+        assert len(rows) == 300 and {(r["predicted"], r["best_score"]) for r in rows} == {(3, 0.0)}
+    assert S.best_labels(df.where("false"), centroids).collect() == []
+    with pytest.raises(ValueError, match="no labelled"):
+        S.best_labels(df, centroids.where("false"))
