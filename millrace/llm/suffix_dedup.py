@@ -1,21 +1,20 @@
-"""Removal of every byte that lies in a repeated string of ``LENGTH`` bytes, by merged shard BWTs.
+"""Removal of every byte that lies in a repeated string of ``LENGTH`` bytes, by interleave refinement.
 
 **Which suffixes can repeat.** Every string of ``LENGTH`` bytes has a key: the least hash of the
 ``GRAM``-byte strings in it. Equal strings have equal keys, and neighbouring strings mostly share
 one, so a document is a row of *runs*, each some dozens of starts with one key. A run whose key
 occurs nowhere else holds no repeat. That leaves a fraction of the text; the rest never moves.
 
-**Shard BWTs and their merge.** The runs of a key, with the bytes they need, meet in one task as
-shards. Suffixes are read in symbols of ``STEP`` bytes; a shard's Burrows-Wheeler transform names the
-symbol before each suffix. The shards are merged by refining an interleave of their suffixes:
-sorted by one symbol at first, each round reads the transforms in the interleave's order and sorts
-the entries stably by symbol, which is the interleave by one symbol more. A block of suffixes
-that splits in a round has that common prefix; suffixes left alone are settled and drop out. After
-``LENGTH / STEP`` rounds the blocks are the repeated intervals. No two suffixes are ever compared.
+**Refinement.** The runs of a key, with the bytes they need, meet in one task. Suffixes are read in
+symbols of ``STEP`` bytes. All suffixes of a task form one interleave, sorted by one symbol at first;
+each round steps to the suffixes one symbol earlier and sorts them stably by symbol, which is the
+interleave by one symbol more. Suffixes left alone in their block are settled and drop out; after
+``LENGTH / STEP`` rounds the blocks are the repeated intervals. No two suffixes are ever compared. No
+shard has a transform of its own and none are merged: the dealt method is not kept whole, see the README.
 Symbols are 64-bit hashes of their bytes (their order is any fixed one, blocks only need equality).
 
 **Skew.** Equal runs are counted and sent once a slice of documents, and equal runs of a key collapse
-before a shard is built: copies cost nothing. Keys with more than ``HOT`` different runs (the edges
+before that: copies cost nothing. Keys with more than ``HOT`` different runs (the edges
 of a passage that many documents share) are dealt by single strings with map-side
 combine instead.
 
@@ -197,7 +196,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(cols, ["key", "digest", "_id", "_key", "at", "times", "bytes"])
 
 
-# ---- Burrows-Wheeler transforms over symbols of STEP bytes -----------------------------------
+# ---- Interleave refinement over symbols of STEP bytes ----------------------------------------
 
 ROUNDS = LENGTH // STEP
 
@@ -213,9 +212,8 @@ def _repeated_in(order: np.ndarray, *parts: np.ndarray) -> tuple[np.ndarray, np.
 def repeated_starts(strings: list[bytes]) -> list[np.ndarray]:
     """For each string, which of its starts open ``LENGTH`` bytes that open elsewhere in ``strings`` too.
 
-    Every string is a shard: its suffixes, at each of their places, and its transform, the symbol
-    before each of them. The interleave holds the suffixes of all shards, sorted by as many symbols as
-    rounds are done; a round reads the transforms in its order and sorts the entries stably.
+    The interleave holds the suffixes of all strings, sorted by as many symbols as rounds are done; a
+    round takes the symbol before each in its order and sorts the entries stably.
     A suffix alone in its block is settled and leaves, and so do those it precedes.
     """
     sizes = np.array([len(s) for s in strings], np.int64)
@@ -228,7 +226,7 @@ def repeated_starts(strings: list[bytes]) -> list[np.ndarray]:
     order, block = _repeated_in(order, symbol[order])
     for _ in range(ROUNDS - 1):
         led = place[order] >= STEP
-        before, block = order[led] - STEP, block[led]  # the transform, by place
+        before, block = order[led] - STEP, block[led]
         sort = np.argsort(symbol[before], kind="stable")
         before, block = before[sort], block[sort]
         order, block = _repeated_in(before, symbol[before], block)
