@@ -525,7 +525,7 @@ def chunk_udtf(spark, folder):
 
 @query
 def stream_stamp(spark, folder):
-    events = run.read_files(spark, folder, _read(spark, folder, "events"), "events.parquet")
+    events = run.read_table(spark, f"{folder}/events.parquet", _read(spark, folder, "events"))
     named = events.select("event_id", F.col("event_type").alias("name"))
     stamped = run.drain(stamp.stamp_stream(named), "stamped")
     # The stamp itself differs from run to run; that it is epoch seconds does not.
@@ -534,7 +534,7 @@ def stream_stamp(spark, folder):
 
 @query
 def stream_delta(spark, folder):
-    turns = run.read_files(spark, folder, _read(spark, folder, "conversations"), "conversations.parquet", files_per_trigger=1)
+    turns = run.read_table(spark, f"{folder}/conversations.parquet", _read(spark, folder, "conversations"), files_per_trigger=1)
     return delta.stream_delta(turns, "conv_id", "turn")
 
 

@@ -20,6 +20,15 @@ def read_files(
     return reader.parquet(folder)
 
 
+def read_table(spark: SparkSession, path: str, like: DataFrame, files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table as a stream with the schema of ``like``: one file, or a folder of part files.
+
+    The stream source takes folders and patterns only, so the name is passed as a pattern that it alone matches.
+    """
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return read_files(spark, f"{folder}/{{{name}}}", like, files_per_trigger=files_per_trigger)
+
+
 def drain(stream: DataFrame, label: str, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process all available input into a Parquet table, stop the query whatever happens, read the table.
 

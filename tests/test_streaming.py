@@ -78,3 +78,41 @@ def test_the_registered_stream_is_bounded_and_has_no_python(spark):
     out = catalog.QUERIES["stream_delta"](spark, "/root/testdata/sf0.001")
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
     assert "files_per_trigger" in inspect.getsource(catalog.QUERIES["stream_delta"])
+
+
+def test_registered_streams_read_a_table_of_many_files_in_any_order(spark, tmp_path):
+    from millrace.plans import catalog
+
+    small = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{small}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    turns = spark.read.parquet(f"{small}/conversations.parquet")
+    # The last turns come first, some of a conversation's turns in each file; written so that ages differ.
+    for part in ("turn % 2 = 1", "turn % 4 = 0", "turn % 4 = 2"):
+        turns.where(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "conversations.parquet"))
+        time.sleep(0.05)
+    for name in ("stream_delta", "stream_stamp"):
+        got, want = (sorted(map(str, catalog.QUERIES[name](spark, str(folder)).collect())) for folder in (tmp_path, small))
+        assert got == want and got
+
+
+def test_delta_without_input_and_with_late_messages_over_restarts(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    like = spark.createDataFrame([], "k bigint, t bigint, text string")
+    (tmp_path / "in" / "none").mkdir(parents=True)
+
+    def run():
+        turns = read_files(spark, f"{source}/*", like, files_per_trigger=1)
+        return sorted(map(str, stream_delta(turns, "k", "t", out=out).collect()))
+
+    assert run() == []
+    rows = []
+    parts = [[(1, 5, "abcdefgh"), (None, 3, "xyz")], [(1, 2, "abc"), (2, 1, "q")], [(1, None, "a"), (None, 1, "x"), (1, 9, "abcdefghij")], [(1, 7, None), (2, 2, "qr")]]
+    for n, part in enumerate(parts):
+        rows += part
+        write_turns(spark, source, part, n)
+        want = transcript_delta(spark.createDataFrame(rows, like.schema).coalesce(1), "k", "t").select("k", "t", "delta")
+        want = {(r["k"], r["t"]): r["delta"] for r in want.collect()}
+        if n == 3:
+            # In a stream a null text counts as empty for the message after it.
+            want[1, 9] = "abcdefghij"
+        assert run() == sorted(str(r) for r in spark.createDataFrame([(*k, v) for k, v in want.items()], "k bigint, t bigint, delta string").collect())
