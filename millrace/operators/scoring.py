@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,20 +183,61 @@ def timed_batch_score(df: DataFrame, model: LinearModel, backend: str, vector: s
     return df.mapInPandas(run, schema)
 
 
-def backend_timing(df: DataFrame, base: str, backend: str = "backend", elapsed: str = "elapsed_s", accuracy: int = 100_000) -> DataFrame:
+def _exact_percentiles(times: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """``backend, exact``: the percentiles of ``elapsed`` in a backend, between two times where the rank is; pass staged rows.
+
+    Equal times are counted once and dealt by ranges of (backend, time). The counts of the partitions, a row
+    each and backend, tell which of them hold the wanted ranks, and only these are numbered.
+    """
+    counts = times.where(F.col("elapsed").isNotNull()).groupBy("backend", "elapsed").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = counts.repartitionByRange("backend", "elapsed")
+    placed = stage(ranged.withColumn("_part", F.spark_partition_id()), "ordered-times")
+    parts = stage(placed.groupBy("backend", "_part").agg(F.sum("_n").alias("_in")), "times-of-parts")
+    whole = Window.partitionBy("backend")
+    upto = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_end", F.sum("_in").over(upto)).withColumn("_all", F.sum("_in").over(whole))
+    place = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("_all") - 1) * F.lit(float(q))).alias("at")) for i, q in enumerate(shares)]))
+    wanted = parts.withColumn("_p", place).select("*", F.explode(F.array_distinct(F.array(F.floor("_p.at"), F.ceil("_p.at")))).alias("_rank"))
+    wanted = wanted.where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_in")))
+    wanted = stage(wanted.select("backend", "_part", "_p", "_rank", (F.col("_end") - F.col("_in")).alias("_before")), "wanted-ranks")
+    # Few rows: two ranks for each share of a backend.
+    asked = lambda df: F.broadcast(df.withColumnsRenamed({"backend": "_b", "_part": "_q"}))
+    same = F.col("backend").eqNullSafe(F.col("_b")) & (F.col("_part") == F.col("_q"))
+    inside = Window.partitionBy("backend", "_part").orderBy("elapsed").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = placed.join(asked(wanted.select("backend", "_part", "_before").distinct()), same).withColumn("_upto", F.sum("_n").over(inside) + F.col("_before")).drop("_b", "_q", "_before")
+    found = held.join(asked(wanted.drop("_before")), same & (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+    ends = found.groupBy("backend", "_p").agg(F.min("elapsed").alias("lo"), F.max("elapsed").alias("hi"))
+    between = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("_p.at") - F.floor("_p.at"))
+    value = F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("double")).otherwise(between)
+    return ends.groupBy("backend").agg(F.transform(F.array_sort(F.collect_list(F.struct("_p.i", value.alias("v")))), lambda x: x["v"]).alias("exact"))
+
+
+def backend_timing(
+    df: DataFrame, base: str, backend: str = "backend", elapsed: str = "elapsed_s", accuracy: int | None = 100_000
+) -> DataFrame:
     """Time spent on each backend, its median and 95th percentile, and its speed relative to ``base``.
 
-    Percentiles come from a mergeable sketch of bounded size: each is a time that occurs, off by at most
-    ``n / accuracy`` ranks, and the exact one while a backend has fewer times than ``accuracy``.
+    With ``accuracy`` None the percentiles are exact, between the two times next to the rank where it is no whole
+    number; no task holds all times of a backend. Else they come from a mergeable sketch of bounded
+    size: each is a time that occurs, off by at most ``n / accuracy`` ranks, and the exact one of these while a
+    backend has fewer times than ``accuracy``.
 
     One aggregate with map-side combine gives a row a backend, whichever there are (null among
     them); the speed is null where ``base`` has no times.
     """
-    e = F.col(elapsed)
-    stats = df.groupBy(F.col(backend).alias("backend")).agg(
-        F.count(e).alias("n"), F.sum(e).alias("total_s"), F.avg(e).alias("mean_s"), F.min(e).alias("min_s"), F.max(e).alias("max_s"),
-        F.percentile_approx(e, 0.5, accuracy).alias("p50_s"), F.percentile_approx(e, 0.95, accuracy).alias("p95_s"),
+    times = df.select(F.col(backend).alias("backend"), F.col(elapsed).alias("elapsed"))
+    # Measured times differ when they are taken again.
+    times = stage(times, "times") if accuracy is None else times
+    e = F.col("elapsed")
+    shares = {"p50_s": 0.5, "p95_s": 0.95}
+    sketched = [F.percentile_approx(e, q, accuracy).alias(name) for name, q in shares.items()] if accuracy is not None else []
+    stats = times.groupBy("backend").agg(
+        F.count(e).alias("n"), F.sum(e).alias("total_s"), F.avg(e).alias("mean_s"), F.min(e).alias("min_s"), F.max(e).alias("max_s"), *sketched
     )
+    if accuracy is None:
+        exact = F.broadcast(_exact_percentiles(times, list(shares.values())).withColumnRenamed("backend", "_b"))
+        picked = [F.col("exact")[i].alias(name) for i, name in enumerate(shares)]
+        stats = stats.join(exact, F.col("backend").eqNullSafe(F.col("_b")), "left").select(*stats.columns, *picked)
     # Few rows meet here, one a backend; the base is taken from the same pass as the rest.
     whole = stats.agg(F.max(F.when(F.col("backend") == base, F.col("mean_s"))).alias("_base"), F.collect_list(F.struct(*stats.columns)).alias("_rows"))
     rows = whole.select("_base", F.inline("_rows"))

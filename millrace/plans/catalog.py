@@ -301,7 +301,7 @@ def sequence_shape_profile(spark, folder):
 @query
 def backend_timing(spark, folder):
     # Event types stand for backends and values for seconds, so that the times can be checked.
-    times = scoring.backend_timing(_read(spark, folder, "events"), "view", "event_type", "value")
+    times = scoring.backend_timing(_read(spark, folder, "events"), "view", "event_type", "value", accuracy=None)
     rounded = ("total_s", "mean_s", "p50_s", "p95_s", "speedup")
     return times.select("backend", "n", "min_s", "max_s", *[F.round(c, 6).alias(c) for c in rounded])
 

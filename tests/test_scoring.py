@@ -165,3 +165,24 @@ def test_best_labels_ties_and_empty_tables(spark):
     assert S.best_labels(df.where("false"), centroids).collect() == []
     with pytest.raises(ValueError, match="no labelled"):
         S.best_labels(df, centroids.where("false"))
+
+
+def test_exact_percentiles_lie_between_times(spark):
+    rng = np.random.default_rng(7)
+    times = {"a": rng.normal(size=5001), "b": np.repeat(4.0, 3000), "c": rng.integers(0, 50, 997) / 4, None: np.array([1.0, 3.0])}
+    rows = [(b, float(v)) for b, values in times.items() for v in values] + [("a", None), ("none", None)]
+    df = spark.createDataFrame(rows, "backend string, elapsed_s double").repartition(5)
+    got = {r["backend"]: r for r in S.backend_timing(df, "b", accuracy=None).collect()}
+    assert set(got) == {*times, "none"} and got["none"]["n"] == 0 and got["none"]["p50_s"] is None
+    for b, values in times.items():
+        assert got[b]["n"] == len(values) and got[b]["mean_s"] == pytest.approx(values.mean())
+        assert (got[b]["p50_s"], got[b]["p95_s"]) == pytest.approx((np.quantile(values, 0.5), np.quantile(values, 0.95)))
+
+
+def test_the_registered_timing_is_exact():
+    import inspect
+
+    from millrace.plans import catalog, oracles
+
+    assert "quantile_cont" in oracles.ORACLES["backend_timing"]
+    assert "accuracy=None" in inspect.getsource(catalog.QUERIES["backend_timing"])
