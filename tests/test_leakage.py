@@ -64,3 +64,24 @@ def test_empty_sides(spark):
     some = spark.createDataFrame([(1, LICENSE)], "doc_id bigint, text string")
     assert leakage.passage_leakage(none, some).collect() == [] and leakage.passage_leakage(some, none).collect() == []
     assert [tuple(r) for r in leakage.passage_leakage(some, some).collect()] == [(1, 15, 0)]
+
+
+def test_no_words_are_copied_to_each_passage(spark, monkeypatch):
+    seen = {}
+    real = leakage.stage
+    monkeypatch.setattr(leakage, "stage", lambda frame, label: seen.setdefault(label, real(frame, label)))
+    long = " ".join(f"y{i * i % 7919}" for i in range(5000))
+    side = spark.createDataFrame([(1, long), (2, LICENSE)], "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in leakage.passage_leakage(side, side).collect()) == [(1, 4985, 0), (2, 15, 0)]
+    # Neighbouring passages with one mark are a row, and each hash is in one row only.
+    runs = seen["held-passages"]
+    assert runs.agg(F.sum(F.size("_hashes"))).first()[0] == 4985 + 15 and runs.count() < 5000 / 3
+
+
+def test_pieces_of_a_batch_and_any_key_name(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "_PIECE", 50)
+    train, test = texts(5, 60), [*enumerate(texts(6, 60))]
+    rows = leakage.passage_leakage(
+        spark.createDataFrame([(t,) for t in train], "text string").coalesce(1), spark.createDataFrame(test, "mark bigint, text string").coalesce(1), key="mark", passage=6, gram=3
+    )
+    assert sorted((tuple(r) for r in rows.collect()), key=str) == brute(train, test, 6)
