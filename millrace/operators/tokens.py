@@ -30,6 +30,8 @@ VOCAB_SIZE = 30_000
 # The marks of fill-in-the-middle examples and the id of a hidden token.
 FIM_MARKS = ("<fim_prefix>", "<fim_suffix>", "<fim_middle>")
 MASK_ID = -1
+#: Items that are looked up at once in a task; a longer array is one piece.
+PIECE_ITEMS = 1 << 18
 MARKERS = {PAD_ID: "<pad>", EOS_ID: "</s>", UNK_ID: "<unk>"}
 
 
@@ -75,22 +77,33 @@ def _mapped(df: DataFrame, key: Sequence[str], items: Column, table: dict, missi
     """Replace the items of an array by what ``table`` has for them, as ``key, name``.
 
     One narrow step over Arrow columns: the items of a batch are looked up at once and cut into
-    lists again at the same places. Nothing is exploded or shuffled.
+    lists again at the same places, ``PIECE_ITEMS`` at a time, so a worker holds little besides the batch itself.
+    Nothing is exploded or shuffled.
     """
     spark = df.sparkSession
     held = spark.sparkContext.broadcast(table)
     names = list(key)
 
+    def pieces(batch: pa.RecordBatch, have: pa.Array, give: pa.Array) -> Iterator[pa.RecordBatch]:
+        sizes = pc.fill_null(pc.list_value_length(batch["_items"]), 0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(sizes, dtype=np.int64), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + PIECE_ITEMS, "right")))
+            flat = batch["_items"].slice(start, stop - start).flatten()
+            at = pc.fill_null(pc.index_in(flat.cast(have.type), value_set=have), len(have))
+            counts = np.append(0, ends[start:stop] - before)
+            out = pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), give.take(at))
+            yield pa.RecordBatch.from_arrays([*[batch[c].slice(start, stop - start) for c in names], out], [*names, name])
+            start = stop
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = pa.array(list(held.value))
         give = pa.array([*held.value.values(), missing], kind)
         for batch in batches:
-            lists = batch["_items"]
-            flat = lists.flatten()
-            at = pc.fill_null(pc.index_in(flat.cast(have.type), value_set=have), len(have))
-            counts = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))
-            out = pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), give.take(at))
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], out], [*names, name])
+            yield from pieces(batch, have, give)
+            # Not to be held while the next one is read.
+            del batch
 
     rows = df.select(*key, items.alias("_items"))
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}

@@ -134,3 +134,26 @@ def test_encode_requests(docs, vocab):
 
 def test_index_limit_is_shared():
     assert TK.VOCAB_SIZE <= index.LIMIT_IN_ONE_TASK
+
+
+def test_a_batch_is_looked_up_in_pieces(spark, monkeypatch):
+    import pyarrow as pa
+
+    steps = []
+    kind = type(spark.range(1))
+    real = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, step, schema: steps.append(step) or real(self, step, schema))
+    monkeypatch.setattr(TK, "PIECE_ITEMS", 10)
+    texts = ["a b", None, "", "c " * 25, "a x b " * 3, "b", "b a c", "a " * 10, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    vocab = spark.createDataFrame([("a", 3, 3), ("b", 2, 4), ("c", 1, 5)], "word string, n bigint, id int")
+    got = {r["doc_id"]: r["ids"] for r in TK.encode(docs.coalesce(1), vocab, ["doc_id"]).collect()}
+    ids = {"a": 3, "b": 4, "c": 5}
+    assert got == {i: [ids.get(w, 2) for w in (t or "").split()] for i, t in enumerate(texts)}
+    items = [None if t is None else t.split() for t in texts]
+    whole = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "_items": pa.array(items, pa.list_(pa.string()))})
+    # A sliced batch too, as it starts at another place.
+    for start in (0, 3):
+        out = list(steps[0](iter([whole.slice(start)])))
+        assert [x for b in out for x in b["ids"].to_pylist()] == [got[i] for i in range(start, len(texts))]
+        assert all(b.num_rows == 1 or len(b["ids"].flatten()) <= 10 for b in out) and len(out) > 2
