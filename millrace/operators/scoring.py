@@ -235,9 +235,9 @@ def backend_timing(
         F.count(e).alias("n"), F.sum(e).alias("total_s"), F.avg(e).alias("mean_s"), F.min(e).alias("min_s"), F.max(e).alias("max_s"), *sketched
     )
     if accuracy is None:
-        exact = F.broadcast(_exact_percentiles(times, list(shares.values())).withColumnRenamed("backend", "_b"))
+        exact = stage(_exact_percentiles(times, list(shares.values())).withColumnRenamed("backend", "_b"), "percentiles")
         picked = [F.col("exact")[i].alias(name) for i, name in enumerate(shares)]
-        stats = stats.join(exact, F.col("backend").eqNullSafe(F.col("_b")), "left").select(*stats.columns, *picked)
+        stats = stats.join(F.broadcast(exact), F.col("backend").eqNullSafe(F.col("_b")), "left").select(*stats.columns, *picked)
     # Few rows meet here, one a backend; the base is taken from the same pass as the rest.
     whole = stats.agg(F.max(F.when(F.col("backend") == base, F.col("mean_s"))).alias("_base"), F.collect_list(F.struct(*stats.columns)).alias("_rows"))
     rows = whole.select("_base", F.inline("_rows"))
