@@ -12,11 +12,19 @@ An empty segment would be an entry that unrelated sets share. It is not indexed:
 lost, and the band has spare points to make up for it. A linked pair can then be missed only when
 both sets have lost more than the spare; such *weak* sets index their empty segments too.
 
+Shingles of many documents (a common line, a licence) would make entries that unrelated sets share:
+a segment that holds nothing else. A count of documents by shingle bucket, of a fixed size, marks the
+*heavy* buckets, and sets are first indexed by their other shingles alone. Those differ in no more
+shingles than the whole sets do, so a linked pair still meets unless both sets are weak in what is
+left, as near copies of a text with many copies are; weak sets are indexed by their whole content
+too. What is marked decides which candidates there are, never which links.
+
 Candidates meet in one exchange of ``(entry, set digest)``. Each set is verified against the least
 pivot of its entries, so a group of near copies costs one check a member; then against the other
-pivots that are in another component. Entries of three sets or more whose members are in different
-components after that are resolved: the members of entries with one pivot form a group, those of
-large entries are split by a second, independent partition of the universe within the group (linked
+pivots that are in another component. Digests begin with a rank, so that the pivots are sets of
+little but heavy shingles: the copies with the fewest changes. Entries of three sets or more whose
+members are in different components after that are resolved: the members of entries with pivots in
+one component form a group, those of large groups are split by a second, independent partition of the universe within the group (linked
 sets meet there too, sets that only share a passage hardly ever) and checked in the same way; what
 is left is verified in tile products that return one row a linked set, never its pairs. Every check
 is exact on the shingle sets.
@@ -38,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import NULL_ID, Scratch, U, components, keyed, local_roots, mix, per_row, plain_id, signed, text_slices, words_of
+from millrace.llm.sums import summed
 from millrace.sizing import lookup_join
 
 BAND_RATIO = 1.4
@@ -47,6 +56,8 @@ PIVOT_ROWS = 2_000
 TILE_SETS = 1_536
 TILE_MEMBERS = 2_000_000
 SECOND = 0x5851F42D4C957F2D
+BUCKETS = 1 << 18  # of shingles, to count their documents
+HEAVY = 64  # documents that a heavy bucket has more than an ordinary one, at least
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,77 +132,108 @@ def _segments(size: int, need: int) -> tuple[int, int]:
     return best[1:]
 
 
-def entries(row: np.ndarray, h: np.ndarray, n: int, num: int, den: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, entry)`` of the index rows of all sets; ``h`` is sorted within its row."""
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h & U(BUCKETS - 1)).astype(np.int64)
+
+
+def _count_documents(words: int) -> Callable:
+    def fold(batch: pa.RecordBatch, total: np.ndarray) -> None:
+        for _, _, data, offs in text_slices(batch["text"]):
+            total += np.bincount(_bucket(shingle_sets(data, offs, words)[1]), minlength=BUCKETS)
+
+    return fold
+
+
+def heavy_buckets(counts: np.ndarray) -> np.ndarray:
+    """The buckets with far more documents than chance gives an ordinary one; one in sixteen at most."""
+    usual = float(np.median(counts))
+    return counts > max(usual + 8 * math.sqrt(usual) + HEAVY, float(np.quantile(counts, 15 / 16)))
+
+
+def entries(
+    row: np.ndarray, h: np.ndarray, n: int, num: int, den: int, seed: int = 0, heavy: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, entry)`` of the index rows of all sets; ``h`` is sorted within its row.
+
+    With ``heavy`` buckets marked, those of the shingles in other buckets, and for weak sets of all.
+    """
+    size = np.bincount(row, minlength=n)
+    contents = [(row, h)]
+    if heavy is not None:
+        light = ~heavy[_bucket(h)]
+        contents.insert(0, (row[light], h[light]))
     if seed:
-        h = mix(h ^ U(seed))
-        sort_rows(h, per_row(row, n))
-    bounds = per_row(row, n)
-    size = np.diff(bounds)
+        contents = [(r, mix(x ^ U(seed))) for r, x in contents]
+        for r, x in contents:
+            sort_rows(x, per_row(r, n))
     rows, keys = [], []
+    key = lambda t, tags, c: mix(mix(t + tags) + c.astype(U))
     for b, (low, high, need, exact, deletion) in enumerate(bands(num, den, max(4096, 1 << int(size.max(initial=0)).bit_length()))):
         mine = (size >= low) & (size <= high * den // num)
-        if not mine.any():
-            continue
-        pick = mine[row]
-        r, x = row[pick], h[pick]
         m = exact + deletion
-        seg = ((x >> U(32)) * U(m)) >> U(32)
-        group = r * m + seg.astype(np.int64)
-        first = np.ones(len(group), bool)
-        first[1:] = group[1:] != group[:-1]
-        at = np.flatnonzero(first)
-        g = group[at]
-        count = np.diff(np.append(at, len(group)))
-        point = mix(x ^ U(0xA0761D6478BD642F))
-        total = np.add.reduceat(point, at)
-        tag = mix((g % m).astype(U) + U((b + 1) << 32) + U(seed))
-        key = lambda t, tags, c: mix(mix(t + tags) + c.astype(U))
-        rows.append(g // m)
-        keys.append(key(total, tag, count))
-        worth = np.where(count > 1, 1 + (deletion > 0), 1)
-        if deletion:
-            of = np.repeat(np.arange(len(at)), count)
-            shorter = count[of] > 1
-            of, t = of[shorter], point[shorter]
-            rows.append((g // m)[of])
-            keys.append(key(total[of] - t, tag[of], count[of] - 1))
-        points = np.bincount(g // m, worth, n)
-        weak = mine & (points < need)
-        if weak.any():
-            w = np.flatnonzero(weak)
-            full = np.repeat(w * m, m) + np.tile(np.arange(m), len(w))
-            gone = full[~np.isin(full, g)]
-            few = g[(count == 1) & weak[g // m]] if deletion else gone[:0]
-            for e in (gone, few):  # an empty segment, and the empty neighbour of a segment with one member
-                rows.append(e // m)
-                keys.append(key(np.zeros(len(e), U), mix((e % m).astype(U) + U((b + 1) << 32) + U(seed)), np.zeros(len(e), np.int64)))
+        for last, (r, x) in enumerate(contents, 1 - len(contents)):
+            if not mine.any():
+                break
+            pick = mine[r]
+            r, x = r[pick], x[pick]
+            seg = ((x >> U(32)) * U(m)) >> U(32)
+            group = r * m + seg.astype(np.int64)
+            first = np.ones(len(group), bool)
+            first[1:] = group[1:] != group[:-1]
+            at = np.flatnonzero(first)
+            g = group[at]
+            count = np.diff(np.append(at, len(group)))
+            point = mix(x ^ U(0xA0761D6478BD642F))
+            total = np.add.reduceat(point, at) if len(at) else point
+            tag = mix((g % m).astype(U) + U((b + 1) << 32) + U(seed))
+            rows.append(g // m)
+            keys.append(key(total, tag, count))
+            worth = np.where(count > 1, 1 + (deletion > 0), 1)
+            if deletion:
+                of = np.repeat(np.arange(len(at)), count)
+                shorter = count[of] > 1
+                of, t = of[shorter], point[shorter]
+                rows.append((g // m)[of])
+                keys.append(key(total[of] - t, tag[of], count[of] - 1))
+            mine = mine & (np.bincount(g // m, worth, n) < need)  # the weak ones
+            if last == 0 and mine.any():
+                w = np.flatnonzero(mine)
+                full = np.repeat(w * m, m) + np.tile(np.arange(m), len(w))
+                gone = full[~np.isin(full, g)]
+                few = g[(count == 1) & mine[g // m]] if deletion else gone[:0]
+                for e in (gone, few):  # an empty segment, and the empty neighbour of a segment with one member
+                    rows.append(e // m)
+                    keys.append(key(np.zeros(len(e), U), mix((e % m).astype(U) + U((b + 1) << 32) + U(seed)), np.zeros(len(e), np.int64)))
     if not rows:
         return row[:0], h[:0]
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def _digests(row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _digests(row: np.ndarray, h: np.ndarray, n: int, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and signed digests: 60 bits of a hash below a rank, so that sets of little but heavy
+    shingles, which are in the middle of many near copies, come first and are the pivots."""
     size = np.bincount(row, minlength=n)
     total = np.zeros(n, U)
     np.add.at(total, row, mix(h ^ U(0x8EBC6AF09C88C6E3)))
-    return size, mix(total + size.astype(U))
+    light = np.bincount(row, ~heavy[_bucket(h)], n)
+    rank = 15 - np.minimum(15, 2 * np.log2(np.maximum(size, 1) / (light + 1)) + 2).clip(0).astype(np.int64)
+    return size, ((rank - 8) << 60) + (mix(total + size.astype(U)) >> U(4)).astype(np.int64)
 
 
-def _set_rows(words: int) -> Callable:
+def _set_rows(words: int, heavy: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in text_slices(batch["text"]):
-                size, digest = _digests(*shingle_sets(data, offs, words), hi - lo)
+                size, digest = _digests(*shingle_sets(data, offs, words), hi - lo, heavy)
                 cut = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [cut["_id"], cut["_key"], pa.array(size.astype(np.int64)), signed(digest)], ["_id", "_key", "size", "digest"]
+                    [cut["_id"], cut["_key"], pa.array(size.astype(np.int64)), pa.array(digest)], ["_id", "_key", "size", "digest"]
                 )
 
     return run
 
 
-def _entry_rows(words: int, num: int, den: int) -> Callable:
+def _entry_rows(words: int, num: int, den: int, heavy: np.ndarray) -> Callable:
     """Index rows ``(entry, a, b)`` with the map-side combine: of the sets of a slice that share an
     entry one (``a``) speaks for it in the exchange by entry, the others (``b``) go along with it."""
 
@@ -199,22 +241,22 @@ def _entry_rows(words: int, num: int, den: int) -> Callable:
         for batch in batches:
             for lo, hi, data, offs in text_slices(batch["text"]):
                 row, h = shingle_sets(data, offs, words)
-                _, digest = _digests(row, h, hi - lo)
-                r, key = entries(row, h, hi - lo, num, den)
+                _, digest = _digests(row, h, hi - lo, heavy)
+                r, key = entries(row, h, hi - lo, num, den, heavy=heavy)
                 yield _combined(key, digest[r])
 
     return run
 
 
-def _refined_rows(words: int, num: int, den: int, seed: int) -> Callable:
+def _refined_rows(words: int, num: int, den: int, seed: int, heavy: np.ndarray) -> Callable:
     """The same for rows ``(digest, given, text)``: entries of a second partition within each given one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests = batch["digest"].to_numpy(zero_copy_only=False).view(U)
+            digests = batch["digest"].to_numpy(zero_copy_only=False)
             for lo, hi, data, offs in text_slices(batch["text"]):
                 row, h = shingle_sets(data, offs, words)
-                r, key = entries(row, h, hi - lo, num, den, seed)
+                r, key = entries(row, h, hi - lo, num, den, seed, heavy)
                 order = np.argsort(r, kind="stable")
                 key, bounds = key[order], per_row(r[order], hi - lo)
                 for i in range(lo, hi):
@@ -236,7 +278,7 @@ def _combined(key: np.ndarray, digest: np.ndarray) -> pa.RecordBatch:
     head[1:] = key[1:] != key[:-1]
     pivot = digest[np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))] if len(key) else digest
     return pa.RecordBatch.from_arrays(
-        [signed(key), signed(pivot), pa.array(digest.view(np.int64), mask=head)], ["entry", "a", "b"]
+        [signed(key), pa.array(pivot), pa.array(digest, mask=head)], ["entry", "a", "b"]
     )
 
 
@@ -327,16 +369,16 @@ def _parted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where("a_root <> b_root").select("a", "b")
 
 
-def _met(members: DataFrame, links: DataFrame, roots: DataFrame, checked: DataFrame | None, verify: Callable, scratch: Scratch):
+def _met(members: DataFrame, links: DataFrame, roots: DataFrame, checked: DataFrame, verify: Callable, scratch: Scratch):
     """``(links, roots, open)`` after the members of every entry were checked against its pivots.
 
     ``checked`` pairs are not checked again, nor are sets that are in one component by now. ``open
     (pivot, digest)`` has the members of the entries that are still in several components, by the
-    least of them; an entry of two sets has no other pair.
+    component of the least of them, as near copies have many entries with pivots that are linked;
+    an entry of two sets has no other pair.
     """
-    pairs = scratch.stage(members.select("a", "b").distinct())
-    new = pairs.join(checked.hint("merge"), ["a", "b"], "left_anti") if checked is not None else pairs
-    rest = scratch.stage(_parted(new, roots))
+    pairs = scratch.stage(_parted(members.select("a", "b").distinct(), roots))
+    rest = scratch.stage(pairs.join(checked.hint("merge"), ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         more = verify(rest)
         if not more.isEmpty():
@@ -350,6 +392,7 @@ def _met(members: DataFrame, links: DataFrame, roots: DataFrame, checked: DataFr
     held = held.select("entry", F.col("a").alias("digest")).unionByName(held.select("entry", F.col("b").alias("digest"))).distinct()
     held = scratch.stage(held)
     of = held.groupBy("entry").agg(F.count("*").alias("n"), F.min("digest").alias("pivot")).where("n > 2").select("entry", "pivot")
+    of = lookup_join(of, roots.withColumnRenamed("node", "pivot"), "pivot", "left").select("entry", F.coalesce("root", "pivot").alias("pivot"))
     left = scratch.stage(held.join(of.hint("merge"), "entry").select("pivot", "digest").distinct())
     scratch.drop(pairs, rest, still, mixed, held)
     return links, roots, left
@@ -422,8 +465,9 @@ def jaccard_classes(
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     rows = keyed(docs, id_col, text_col)
-    sets = scratch.stage(rows.mapInArrow(_set_rows(words), "_id bigint, _key bigint, size bigint, digest bigint"))
-    members = _members(rows.mapInArrow(_entry_rows(words, num, den), MEMBERS), scratch)
+    heavy = heavy_buckets(summed(rows.select("text"), _count_documents(words), BUCKETS))
+    sets = scratch.stage(rows.mapInArrow(_set_rows(words, heavy), "_id bigint, _key bigint, size bigint, digest bigint"))
+    members = _members(rows.mapInArrow(_entry_rows(words, num, den, heavy), MEMBERS), scratch)
 
     nodes = members.select(F.col("b").alias("digest")).unionByName(members.select(F.col("a").alias("digest"))).distinct()
     one = sets.groupBy("digest").agg(F.min("_id").alias("_id"), F.min("size").alias("size"))
@@ -448,7 +492,7 @@ def jaccard_classes(
     if not many.isEmpty():
         # Linked sets of an entry are in the group of its pivot, so the second partition is taken within each group.
         again = large.groupBy("digest").agg(F.collect_list("pivot").alias("given")).join(texts, "digest")
-        refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND), MEMBERS), scratch)
+        refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND, heavy), MEMBERS), scratch)
         links, roots, finer = _met(refined, links, roots, first, verify, scratch)
         scratch.drop(refined)
         groups.append(finer)

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import types as T
 
+from millrace.llm import jaccard_join
 from millrace.llm.jaccard_join import jaccard_classes
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("size", T.StringType())])
@@ -97,3 +98,51 @@ def test_empty_and_repeated_rows(spark):
     got = jaccard_classes(spark.createDataFrame(rows, SCHEMA), 4, 85, 100).collect()
     assert sorted((r.doc_id is None, r.n_shingles, r.component_id) for r in got if r.component_id is not None) == [(False, 1, 7)]
     assert len(got) == 4
+
+
+def pairs_met(monkeypatch):
+    """Counts, filled as the join runs, of the candidate pairs whose components are looked up."""
+    counts, parted = [], jaccard_join._parted
+
+    def counted(pairs, roots):
+        counts.append(pairs.count())
+        return parted(pairs, roots)
+
+    monkeypatch.setattr(jaccard_join, "_parted", counted)
+    return counts
+
+
+def test_a_common_line_makes_no_candidates(spark, monkeypatch):
+    rng = random.Random(21)
+    line = [f"c{i}" for i in range(14)]
+    rows = [(i, " ".join(line + [f"u{i}_{k}" for k in range(rng.randrange(50, 80))]), None) for i in range(500)]
+    rows.append((900, rows[3][1] + " more", None))
+    counts = pairs_met(monkeypatch)
+    got = jaccard_classes(spark.createDataFrame(rows, SCHEMA).repartition(3), 4, 85, 100)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 4, 85, 100)
+    assert max(counts) <= 10
+
+
+def test_candidates_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    """Copies with up to eight changes each: those with few are the pivots, so a copy has few pivots."""
+    rng = random.Random(22)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, " ".join(changed(rng, base, rng.randrange(9))), None) for i in range(300)]
+    counts = pairs_met(monkeypatch)
+    got = jaccard_classes(spark.createDataFrame(rows, SCHEMA).repartition(3), 4, 85, 100)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 4, 85, 100)
+    assert sum(counts) <= 20 * len(rows)
+
+
+@pytest.mark.parametrize("seed", [31, 32, 33])
+def test_marks_change_no_link(spark, monkeypatch, seed):
+    """With every shingle of several documents marked, most sets are weak or nearly so."""
+    monkeypatch.setattr(jaccard_join, "HEAVY", seed % 3)
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(50):
+        base = [f"w{rng.randrange(60)}" for _ in range(rng.choice([3, 6, 12, 30, 90]))]
+        for _ in range(rng.choice([1, 3, 6])):
+            rows.append((len(rows), " ".join(changed(rng, base, rng.randrange(0, 2 + len(base) // 20))), None))
+    got = jaccard_classes(spark.createDataFrame(rows, SCHEMA).repartition(4), 2, 80, 100)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 2, 80, 100)
