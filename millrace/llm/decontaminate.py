@@ -44,6 +44,9 @@ CHUNK = 48
 ANSWER = 3
 ITEM_BYTES = 8 << 20
 HITS = 1 << 22  # counts of rare words held at a time
+SKETCHED = 4096  # blocks sketched at a time
+OFTEN = 32  # times in them from which a term is summed by a product
+RUNS = 4096  # runs of words judged at a time
 NOT_WORDS = [b for b in range(128) if not chr(b).isalnum()]
 
 
@@ -65,24 +68,61 @@ def test_matrix() -> np.ndarray:
     return np.random.default_rng(11).normal(size=(TERMS, RANK + EXTRA)).astype(np.float32)
 
 
+def block_sums(matrix: np.ndarray, t: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each block the sum of its terms' rows of ``matrix``, whose last row is zero."""
+    out = np.zeros((len(starts) - 1, matrix.shape[1]), matrix.dtype)
+    for j in range(BLOCK):
+        at = starts[:-1] + j
+        out += matrix[np.where(at < starts[1:], t[np.minimum(at, len(t) - 1)], len(matrix) - 1)]
+    return out
+
+
+def with_zero(matrix: np.ndarray) -> np.ndarray:
+    return np.concatenate([matrix, np.zeros((1, matrix.shape[1]), matrix.dtype)])
+
+
+def term_sums(t: np.ndarray, block: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(term, sums, blocks)``: of each term the rows of ``seen`` of its places added up, and the blocks that hold it.
+
+    ``block`` ascends. Places are taken by rounds, the n-th of every term at once; terms with many by a product.
+    """
+    order = np.argsort(t.astype(np.uint16), kind="stable")
+    ranked, owner = t[order], block[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])
+    at = np.flatnonzero(new)
+    held = np.add.reduceat((new | np.append(True, owner[1:] != owner[:-1])).astype(np.int64), at)
+    count = np.diff(np.append(at, len(t)))
+    by = np.argsort(-count, kind="stable")
+    at, count, held = at[by], count[by], held[by]
+    sums = np.zeros((len(at), seen.shape[1]), np.float32)
+    often = int(np.count_nonzero(count > OFTEN))
+    if often:
+        row = np.repeat(np.arange(often), count[:often])
+        place = np.arange(len(row)) + np.repeat(at[:often] - np.append(0, np.cumsum(count[:often])[:-1]), count[:often])
+        times = np.bincount(row * len(seen) + owner[place], minlength=often * len(seen))
+        sums[:often] = times.reshape(often, len(seen)).astype(np.float32) @ seen
+    for k in range(OFTEN):
+        upto = int(np.count_nonzero(count > k))
+        if upto <= often:
+            break
+        sums[often:upto] += seen[owner[at[often:upto] + k]]
+    return ranked[at], sums, held
+
+
 def sketch(batch: pa.RecordBatch, total: np.ndarray) -> None:
     """Add ``A'(A R)`` of the batch's blocks, the blocks that hold each term, and their number."""
-    r = test_matrix()
+    r = with_zero(test_matrix())
     width = r.shape[1]
-    out = total[: TERMS * width].reshape(TERMS, width)
+    out, counts = total[: TERMS * width].reshape(TERMS, width), total[TERMS * width : -1]
     for _, _, data, offs in text_slices(batch["text"], 1 << 18):
         h, starts, _ = blocks_of(data, offs)
-        if not len(h):
-            continue
         t = terms(h)
-        block = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        seen = np.add.reduceat(r[t], starts[:-1], axis=0)
-        order = np.argsort(t, kind="stable")
-        ranked = t[order]
-        at = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        out[ranked[at]] += np.add.reduceat(seen[block[order]], at, axis=0)
-        pair = np.unique(block * TERMS + t)
-        total[TERMS * width : -1] += np.bincount(pair & (TERMS - 1), minlength=TERMS)
+        for lo in range(0, len(starts) - 1, SKETCHED):
+            some = starts[lo : lo + SKETCHED + 1]
+            own = t[some[0] : some[-1]]
+            term, sums, held = term_sums(own, np.repeat(np.arange(len(some) - 1), np.diff(some)), block_sums(r, own, some - some[0]))
+            out[term] += sums
+            counts[term] += held
         total[-1] += len(starts) - 1
 
 
@@ -204,6 +244,7 @@ def _search(asked, latent: np.ndarray, idf: np.ndarray, cosine: float, sure: flo
     asked_terms = terms(words)
     need = np.ceil(min(likely, sure) * lengths - 1e-9).astype(np.int64)
     rare = rare_words(words, lengths, need, idf)
+    rows_of = with_zero(latent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +253,7 @@ def _search(asked, latent: np.ndarray, idf: np.ndarray, cosine: float, sure: flo
                 if not len(h):
                     continue
                 t = terms(h)
-                sums = np.add.reduceat(latent[t], starts[:-1], axis=0)
+                sums = block_sums(rows_of, t, starts)
                 blocks = np.diff(first)
                 windows = np.where(blocks > 0, np.maximum(blocks - 1, 1), 0)
                 row = np.repeat(np.arange(hi - lo), windows)
@@ -247,15 +288,17 @@ def _search(asked, latent: np.ndarray, idf: np.ndarray, cosine: float, sure: flo
                     span = np.where(inside, h[place], U(0))
                     some = common_subsequence(span, words[y], lengths[y]) >= need[y]
                     x, y, span, count = x[some], y[some], span[some], inside[some].sum(axis=1)
-                    for shift in range((SPAN * BLOCK - PASSAGE) + 1):
-                        full = np.flatnonzero((shift == 0) | (count >= shift + PASSAGE))
-                        if not len(full):
-                            break
-                        passage, ask = span[full, shift : shift + PASSAGE], y[full]
+                    shifts = np.arange(SPAN * BLOCK - PASSAGE + 1)
+                    runs, shift = np.nonzero((shifts == 0) | (count[:, None] >= shifts + PASSAGE))
+                    for k in range(0, len(runs), RUNS):
+                        one, first_word = runs[k : k + RUNS], shift[k : k + RUNS]
+                        passage, ask = span[one[:, None], first_word[:, None] + np.arange(PASSAGE)], y[one]
                         share = common_subsequence(passage, words[ask], lengths[ask]) / lengths[ask]
+                        leak = share >= min(sure, likely)
+                        passage, ask, share, one = passage[leak], ask[leak], share[leak], one[leak]
                         found = common_subsequence(passage, answers[ask], answer_lengths[ask]) == answer_lengths[ask]
                         leak = (share >= sure) | (share >= likely) & found
-                        out += zip((row[x[full[leak]]] + lo).tolist(), ids[ask[leak]].tolist(), share[leak].tolist(), found[leak].tolist())
+                        out += zip((row[x[one[leak]]] + lo).tolist(), ids[ask[leak]].tolist(), share[leak].tolist(), found[leak].tolist())
                 if out:
                     at, item, share, found = zip(*out)
                     pick = pa.array(at, pa.int64())

@@ -103,3 +103,37 @@ def test_copies_that_the_cosine_prunes_are_found(spark):
     for cosine in (0.3, 2.0):  # none is as near as 2
         found = {(r.doc_id, r.item_id) for r in benchmark_leaks(docs, items, cosine=cosine).collect()}
         assert {(d, d % 12) for d in range(24)} <= found and {d for d, _ in found} == set(range(24))
+
+
+def test_sums_of_blocks_and_terms():
+    rng = np.random.default_rng(4)
+    size = rng.integers(1, 33, 200)
+    starts = np.append(0, np.cumsum(size))
+    t = np.minimum(rng.integers(0, 60, starts[-1]), rng.integers(0, 60, starts[-1])) * 61
+    block = np.repeat(np.arange(200), size)
+    matrix = rng.integers(-9, 9, (decontaminate.TERMS, 5)).astype(np.float32)
+    seen = decontaminate.block_sums(decontaminate.with_zero(matrix), t, starts)
+    assert (seen == np.array([matrix[t[a:b]].sum(axis=0) for a, b in zip(starts, starts[1:])])).all()
+    term, sums, held = decontaminate.term_sums(t, block, seen)
+    assert sorted(term.tolist()) == sorted(set(t.tolist()))
+    for k, total, n in zip(term, sums, held):
+        assert (total == seen[block[t == k]].sum(axis=0)).all() and n == len(set(block[t == k].tolist()))
+
+
+def test_runs_of_a_slice_are_judged_together(monkeypatch):
+    """One call for the spans, and two for the runs of words in them, at whatever offset they begin."""
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    item = [f"q{i}" for i in range(40)]
+    texts = [" ".join([f"p{rng.randrange(300)}" for _ in range(at)] + item + [f"p{rng.randrange(300)}" for _ in range(120)]) for at in range(0, 60, 3)]
+    batch = pa.RecordBatch.from_pydict({"_id": list(range(20)), "_key": list(range(20)), "text": texts})
+    total = np.zeros(decontaminate.TERMS * (decontaminate.RANK + decontaminate.EXTRA) + decontaminate.TERMS + 1)
+    decontaminate.sketch(batch, total)
+    latent, idf = decontaminate.word_map(total)
+    calls, plain = [], decontaminate.common_subsequence
+    monkeypatch.setattr(decontaminate, "common_subsequence", lambda *a: calls.append(1) or plain(*a))
+    search = decontaminate._search(decontaminate.item_chunks([(7, " ".join(item), None)]), latent, idf, 0.3, 0.75, 0.6)
+    found = [r for b in search(iter([batch])) for r in b.to_pylist()]
+    assert {r["_id"] for r in found} == set(range(20)) and max(r["lcs_share"] for r in found) == 1.0
+    assert len(calls) <= 3
