@@ -24,7 +24,7 @@ pivot of its entries, so a group of near copies costs one check a member; then a
 pivots that are in another component. Digests begin with a rank, so that the pivots are sets of
 little but heavy shingles: the copies with the fewest changes. Entries of three sets or more whose
 members are in different components after that are resolved: the members of entries with pivots in
-one component form a group, those of large groups are split by a second, independent partition of the universe within the group (linked
+one component form a group, the sets of large groups are indexed once more, by a second, independent partition of the universe (linked
 sets meet there too, sets that only share a passage hardly ever) and checked in the same way; what
 is left is verified in tile products that return one row a linked set, never its pairs. Every check
 is exact on the shingle sets.
@@ -248,22 +248,16 @@ def _entry_rows(words: int, num: int, den: int, heavy: np.ndarray) -> Callable:
     return run
 
 
-def _refined_rows(words: int, num: int, den: int, seed: int, heavy: np.ndarray) -> Callable:
-    """The same for rows ``(digest, given, text)``: entries of a second partition within each given one."""
+def _refined_rows(words: int, num: int, den: int, seed: int) -> Callable:
+    """The same for rows ``(digest, text)``: entries of a second partition, of whole sets, as most are weak without heavy shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests = batch["digest"].to_numpy(zero_copy_only=False)
             for lo, hi, data, offs in text_slices(batch["text"]):
                 row, h = shingle_sets(data, offs, words)
-                r, key = entries(row, h, hi - lo, num, den, seed, heavy)
-                order = np.argsort(r, kind="stable")
-                key, bounds = key[order], per_row(r[order], hi - lo)
-                for i in range(lo, hi):
-                    mine = key[bounds[i - lo] : bounds[i - lo + 1]]
-                    given = batch["given"][i].values.to_numpy(zero_copy_only=False).view(U)
-                    both = mix(mine[None, :] + mix(given)[:, None]).ravel()
-                    yield _combined(both, np.full(len(both), digests[i]))
+                r, key = entries(row, h, hi - lo, num, den, seed)
+                yield _combined(key, digests[lo:hi][r])
 
     return run
 
@@ -490,9 +484,9 @@ def jaccard_classes(
     many = scratch.stage(left.groupBy("pivot").agg(F.count("*").alias("n")).where(F.col("n") > SMALL_BUCKET).select("pivot"))
     large, groups = lookup_join(left, many, "pivot", "left_semi"), [lookup_join(left, many, "pivot", "left_anti")]
     if not many.isEmpty():
-        # Linked sets of an entry are in the group of its pivot, so the second partition is taken within each group.
-        again = large.groupBy("digest").agg(F.collect_list("pivot").alias("given")).join(texts, "digest")
-        refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND, heavy), MEMBERS), scratch)
+        # A set is indexed once, however many groups it is in: linked sets meet in some entry of the second partition.
+        again = large.select("digest").distinct().join(texts, "digest")
+        refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND), MEMBERS), scratch)
         links, roots, finer = _met(refined, links, roots, first, verify, scratch)
         scratch.drop(refined)
         groups.append(finer)
