@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import new_path
+from millrace.sizing import lookup_join
 
 NULL_ID = -(2**63)
 
@@ -107,6 +108,57 @@ def _are_stars(edges: DataFrame) -> bool:
     return ends.where("up > 1 or up > 0 and down > 0").isEmpty()
 
 
+def named_by(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs (a, b)`` with ``a_root`` and ``b_root``; who is no node of ``roots`` is its own root."""
+    for side in ("a", "b"):
+        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        pairs = lookup_join(pairs, named, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    return pairs
+
+
+def stars(forest: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(node, root)`` for every node but the roots of ``forest (a, b)``, where each ``b`` is there once
+    and hangs from its ``a``. Pointer doubling: a lookup a round, as many rounds as the depth has bits."""
+    out = scratch.stage(forest.select(F.col("b").alias("node"), F.col("a").alias("root"), F.lit(True).alias("deep")))
+    while not out.where("deep").isEmpty():
+        up = out.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        higher = lookup_join(out.select("node", "root"), up, "root", "left")
+        after = scratch.stage(higher.select("node", F.coalesce("above", "root").alias("root"), F.expr("above is not null").alias("deep")))
+        scratch.drop(out)
+        out = after
+    return out.select("node", "root")
+
+
+def merged_stars(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``roots (node, root)``, stars, after ``links (a, b)`` of their nodes or of others are added.
+
+    Only the graph of the roots is looked at: each takes its smallest neighbour, which makes trees but for
+    two that take each other, the trees become single nodes, and so on until no link is left. Every
+    node with a link finds another, so their number is at least halved each round. A node with a
+    third of all links sends one row a task to the minimum. The root is one of the component's
+    nodes, any of them.
+    """
+    moved, pairs = None, named_by(links.select("a", "b"), roots)
+    while True:
+        edges = scratch.stage(pairs.where("a_root <> b_root").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+        if edges.isEmpty():
+            break
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = scratch.stage(both.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("a")))
+        back = least.select(F.col("b").alias("a"), F.col("a").alias("back"))
+        found = stars(lookup_join(least, back, "a").where("a < b or back <> b").select("a", "b"), scratch)
+        moved = found if moved is None else scratch.stage(_moved(moved, found))
+        pairs = named_by(edges, found)
+    return roots if moved is None else scratch.stage(_moved(roots, moved))
+
+
+def _moved(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` whose roots hang from others in ``found``, and those."""
+    up = found.select(F.col("node").alias("root"), F.col("root").alias("above"))
+    after = lookup_join(roots, up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+    return after.unionByName(found)
+
+
 def local_roots(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """The smallest of ``n`` nodes that each is connected to by the pairs."""
     root = np.arange(n)

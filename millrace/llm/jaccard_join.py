@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NULL_ID, Scratch, U, components, keyed, local_roots, mix, per_row, plain_id, signed, text_slices, words_of
+from millrace.llm.common import NULL_ID, Scratch, U, keyed, local_roots, merged_stars, mix, named_by, per_row, plain_id, signed, stars, text_slices, words_of
 from millrace.llm.sums import summed
 from millrace.sizing import lookup_join
 
@@ -357,14 +357,11 @@ def _verify(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, words: int, nu
 
 def _parted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """``pairs (a, b)`` whose sets are in different components; sets without a link are their own."""
-    for side in ("a", "b"):
-        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-        pairs = lookup_join(pairs, named, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
-    return pairs.where("a_root <> b_root").select("a", "b")
+    return named_by(pairs, roots).where("a_root <> b_root").select("a", "b")
 
 
-def _met(members: DataFrame, links: DataFrame, roots: DataFrame, checked: DataFrame, verify: Callable, scratch: Scratch):
-    """``(links, roots, open)`` after the members of every entry were checked against its pivots.
+def _met(members: DataFrame, roots: DataFrame, checked: DataFrame, verify: Callable, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``(roots, open)`` after the members of every entry were checked against its pivots.
 
     ``checked`` pairs are not checked again, nor are sets that are in one component by now. ``open
     (pivot, digest)`` has the members of the entries that are still in several components, by the
@@ -372,24 +369,20 @@ def _met(members: DataFrame, links: DataFrame, roots: DataFrame, checked: DataFr
     an entry of two sets has no other pair.
     """
     pairs = scratch.stage(_parted(members.select("a", "b").distinct(), roots))
-    rest = scratch.stage(pairs.join(checked.hint("merge"), ["a", "b"], "left_anti"))
+    rest = scratch.stage(lookup_join(pairs, checked, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        more = verify(rest)
-        if not more.isEmpty():
-            links = scratch.stage(links.unionByName(more))
-            scratch.drop(roots)
-            roots = scratch.stage(components(links, scratch))
+        roots = merged_stars(roots, verify(rest), scratch)
     still = scratch.stage(_parted(pairs, roots))
-    mixed = lookup_join(members, still, ["a", "b"], "left_semi").select("entry").distinct()
-    mixed = scratch.stage(mixed)
-    held = lookup_join(members, mixed, "entry", "left_semi")
-    held = held.select("entry", F.col("a").alias("digest")).unionByName(held.select("entry", F.col("b").alias("digest"))).distinct()
-    held = scratch.stage(held)
-    of = held.groupBy("entry").agg(F.count("*").alias("n"), F.min("digest").alias("pivot")).where("n > 2").select("entry", "pivot")
-    of = lookup_join(of, roots.withColumnRenamed("node", "pivot"), "pivot", "left").select("entry", F.coalesce("root", "pivot").alias("pivot"))
-    left = scratch.stage(held.join(of.hint("merge"), "entry").select("pivot", "digest").distinct())
-    scratch.drop(pairs, rest, still, mixed, held)
-    return links, roots, left
+    mixed = scratch.stage(lookup_join(members, still, ["a", "b"], "left_semi").select("entry"))
+    # The least set of an entry is the least ``a``, the others are its ``b``.
+    of = lookup_join(members, mixed, "entry", "left_semi").groupBy("entry")
+    of = of.agg(F.min("a").alias("least"), F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high")
+    of = lookup_join(of.select("entry", F.col("least").alias("node")), roots, "node", "left")
+    of = scratch.stage(of.select("entry", F.col("node").alias("least"), F.coalesce("root", "node").alias("pivot")))
+    held = lookup_join(members, of.select("entry", "pivot"), "entry").select("pivot", F.col("b").alias("digest"))
+    left = scratch.stage(held.unionByName(of.select("pivot", F.col("least").alias("digest"))).distinct())
+    scratch.drop(pairs, rest, still, mixed, of)
+    return roots, left
 
 
 def shared_counts(row_x: np.ndarray, h_x: np.ndarray, n_x: int, row_y: np.ndarray, h_y: np.ndarray, n_y: int) -> np.ndarray:
@@ -439,7 +432,7 @@ def _tile(words: int, num: int, den: int) -> Callable:
 
 def _within(groups: DataFrame, sizes: DataFrame, texts: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Links within groups ``(pivot, digest)``: all pairs, in tile products of bounded size."""
-    groups = groups.join(sizes, "digest")
+    groups = lookup_join(groups, sizes, "digest")
     tiles = groups.groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / TILE_SETS, F.sum("size") / TILE_MEMBERS)).alias("tiles"))
     tiled = groups.join(tiles.hint("merge"), "pivot").withColumn("tile", F.pmod(F.xxhash64("digest"), "tiles"))
     tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
@@ -464,22 +457,18 @@ def jaccard_classes(
     members = _members(rows.mapInArrow(_entry_rows(words, num, den, heavy), MEMBERS), scratch)
 
     nodes = members.select(F.col("b").alias("digest")).unionByName(members.select(F.col("a").alias("digest"))).distinct()
-    one = sets.groupBy("digest").agg(F.min("_id").alias("_id"), F.min("size").alias("size"))
-    one = scratch.stage(one.join(nodes, "digest"))
-    chosen = sets.select("_id", "_key", "digest").join(one.select("_id", "digest").hint("merge"), ["_id", "digest"])
-    chosen = scratch.stage(chosen.groupBy("_id", "digest").agg(F.min("_key").alias("_key")))
-    texts = scratch.stage_by(lookup_join(rows, chosen, ["_id", "_key"]).select("digest", "text"), "digest")
-    if texts.count() != chosen.count():  # repeated rows
+    one = sets.groupBy("digest").agg(F.min(F.struct("_id", "_key")).alias("low"), F.min("size").alias("size"))
+    one = scratch.stage(one.join(nodes, "digest").select("low._id", "low._key", "digest", "size"))
+    texts = scratch.stage_by(lookup_join(rows, one.select("_id", "_key", "digest"), ["_id", "_key"]).select("digest", "text"), "digest")
+    if texts.count() != one.count():  # repeated rows
         repeated, texts = texts, scratch.stage_by(texts.dropDuplicates(["digest"]), "digest")
         scratch.drop(repeated)
-    scratch.drop(chosen)
     sizes = one.select("digest", "size")
     verify = functools.partial(_verify, texts=texts, sizes=sizes, words=words, num=num, den=den, scratch=scratch)
 
     first = scratch.stage(members.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = verify(first)
-    roots = scratch.stage(components(links, scratch))
-    links, roots, left = _met(members, links, roots, first, verify, scratch)
+    roots = stars(verify(first), scratch)  # a set hangs from its least pivot, a smaller digest
+    roots, left = _met(members, roots, first, verify, scratch)
     scratch.drop(members)
     many = scratch.stage(left.groupBy("pivot").agg(F.count("*").alias("n")).where(F.col("n") > SMALL_BUCKET).select("pivot"))
     large, groups = lookup_join(left, many, "pivot", "left_semi"), [lookup_join(left, many, "pivot", "left_anti")]
@@ -487,14 +476,12 @@ def jaccard_classes(
         # A set is indexed once, however many groups it is in: linked sets meet in some entry of the second partition.
         again = large.select("digest").distinct().join(texts, "digest")
         refined = _members(again.mapInArrow(_refined_rows(words, num, den, SECOND), MEMBERS), scratch)
-        links, roots, finer = _met(refined, links, roots, first, verify, scratch)
+        roots, finer = _met(refined, roots, first, verify, scratch)
         scratch.drop(refined)
         groups.append(finer)
     groups = scratch.stage(functools.reduce(DataFrame.unionByName, groups).distinct())
     if not groups.isEmpty():
-        more = _within(groups, sizes, texts, words, num, den, scratch)
-        if not more.isEmpty():
-            roots = scratch.stage(components(links.unionByName(more), scratch))
+        roots = merged_stars(roots, _within(groups, sizes, texts, words, num, den, scratch), scratch)
     scratch.drop(texts, one, first)
 
     named = sets.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))

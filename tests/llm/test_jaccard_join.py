@@ -4,7 +4,9 @@ import re
 import pytest
 from pyspark.sql import types as T
 
-from millrace.llm import jaccard_join
+from millrace import sizing
+from millrace.llm import common, jaccard_join
+from millrace.llm.common import Scratch, merged_stars, stars
 from millrace.llm.jaccard_join import jaccard_classes
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("size", T.StringType())])
@@ -146,3 +148,49 @@ def test_marks_change_no_link(spark, monkeypatch, seed):
             rows.append((len(rows), " ".join(changed(rng, base, rng.randrange(0, 2 + len(base) // 20))), None))
     got = jaccard_classes(spark.createDataFrame(rows, SCHEMA).repartition(4), 2, 80, 100)
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 2, 80, 100)
+
+
+def test_drifting_copies_take_few_exchanges(spark, monkeypatch):
+    """Later links are added to the components that are known, so few steps deal out rows anew."""
+    exchanges, stage = [], Scratch.stage
+
+    def counted(self, df):
+        exchanges.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return stage(self, df)
+
+    monkeypatch.setattr(Scratch, "stage", counted)
+    rng = random.Random(41)
+    rows, chain = [], [f"c{i}" for i in range(100)]
+    for _ in range(200):
+        chain = changed(rng, chain, 1)
+        rows.append((len(rows), " ".join(chain), None))
+    got = jaccard_classes(spark.createDataFrame(rows, SCHEMA).repartition(4), 2, 85, 100)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 2, 85, 100)
+    assert sum(exchanges) <= 40, sum(exchanges)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_stars_of_links_added_in_turn(spark, monkeypatch, limit):
+    """Chains, stars and random links, by broadcast and by shuffle joins; a group of two that take each other too."""
+    monkeypatch.setattr(common, "lookup_join", lambda *a: sizing.lookup_join(*a, limit_bytes=limit))
+    rng = random.Random(42)
+    links = [(i, i + 1) for i in range(40)] + [(100, 101)] + [(299, 200 + i) for i in range(60)] + [(rng.randrange(400, 500), rng.randrange(400, 500)) for _ in range(70)]
+    rng.shuffle(links)
+    scratch = Scratch(spark, "stars")
+    table = lambda pairs: spark.createDataFrame(pairs, "a bigint, b bigint")
+    roots = stars(table([(i, i + 1) for i in range(600, 633)]), scratch)
+    assert {r.root for r in roots.collect()} == {600}
+    for part in (links[:90], [(5, 5)], links[90:] + [(633, 7)]):
+        roots = merged_stars(roots, table(part), scratch)
+    known = dict(roots.select("node", "root").collect())
+    assert roots.count() == len(known) and not set(known.values()) & set(known)
+    want = [{*range(41), *range(600, 634)}, {100, 101}, {299, *range(200, 260)}]
+    for group in want:
+        assert len({known.get(n, n) for n in group}) == 1
+    assert all(known.get(a, a) == known.get(b, b) for a, b in links)
+    low = {n: n for n in range(400, 500)}
+    for _ in low:
+        for a, b in links:
+            if a >= 400:
+                low[a] = low[b] = min(low[a], low[b])
+    assert len({known.get(n, n) for n in low}) == len(set(low.values()))
